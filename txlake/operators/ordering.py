@@ -31,10 +31,16 @@ def sorted_slices(df: DataFrame, *order: str | Column) -> DataFrame:
     )
 
 
-def _same(groups: list[str], left: DataFrame, right: DataFrame) -> Column:
-    cond = left[_SLICE] == right[_SLICE]
+def _carry(per_slice: DataFrame, groups: list[str], values: list[Column]) -> DataFrame:
+    """Per-slice values under keys of their own, broadcast where they are few as expected."""
+    keys = [F.col(c).alias(f"_k{c}") for c in (_SLICE, *groups)]
+    return broadcast_if_small(per_slice.select(*keys, *values))
+
+
+def _same(groups: list[str]) -> Column:
+    cond = F.col(_SLICE) == F.col(f"_k{_SLICE}")
     for name in groups:
-        cond = cond & left[name].eqNullSafe(right[name])
+        cond = cond & F.col(name).eqNullSafe(F.col(f"_k{name}"))
     return cond
 
 
@@ -45,15 +51,10 @@ def rank_in_group(df: DataFrame, groups: list[str], order: list, name: str) -> D
         F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first")
     )
     earlier = Window.partitionBy(*groups).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    starts = broadcast_if_small(
-        per_slice.select(
-            _SLICE,
-            *groups,
-            (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-        )
-    )
-    return rows.join(starts, _same(groups, rows, starts)).select(
-        *[rows[c] for c in df.columns], (rows[_POS] + starts["_shift"]).alias(name)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    starts = _carry(per_slice, groups, [(before - F.col("_first")).alias("_shift")])
+    return rows.join(starts, _same(groups)).select(
+        *df.columns, (F.col(_POS) + F.col("_shift")).alias(name)
     )
 
 
@@ -68,12 +69,10 @@ def running_totals(df: DataFrame, groups: list[str], order: list, values: list[s
     rows = sorted_slices(df, *groups, *order)
     per_slice = rows.groupBy(_SLICE, *groups).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     earlier = Window.partitionBy(*groups).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = broadcast_if_small(
-        per_slice.select(
-            _SLICE,
-            *groups,
-            *[F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_c_{v}") for v in values],
-        )
+    carried = _carry(
+        per_slice,
+        groups,
+        [F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_c_{v}") for v in values],
     )
     inside = (
         Window.partitionBy(_SLICE, *groups).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
@@ -81,9 +80,8 @@ def running_totals(df: DataFrame, groups: list[str], order: list, values: list[s
     local = rows.select(
         "*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_l_{v}") for v in values]
     )
-    return local.join(carried, _same(groups, local, carried)).select(
-        *[local[c] for c in df.columns],
-        *[(local[f"_l_{v}"] + carried[f"_c_{v}"]).alias(f"{v}_before") for v in values],
+    return local.join(carried, _same(groups)).select(
+        *df.columns, *[(F.col(f"_l_{v}") + F.col(f"_c_{v}")).alias(f"{v}_before") for v in values]
     )
 
 

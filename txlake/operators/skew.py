@@ -17,20 +17,16 @@ def hot_keys(
 
     A key is hot with more than ``max(min_rows, total / max_keys)`` rows, so fewer than
     ``max_keys`` keys can ever qualify: that bound is what makes collecting and broadcasting the
-    list safe. One pass over the key column; the counts combine before the shuffle.
+    list safe. The usual case, no hot key, is one pass over the key column; the
+    counts combine before the shuffle.
     """
-    spark = df.sparkSession
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total"))
-    found = (
-        counts.where(F.col("_rows") > min_rows)
-        .join(F.broadcast(total), F.col("_rows") * max_keys > F.col("_total"))
-        .select(key)
-    )
-    rows = found.collect()
-    if not rows:
+    seen = counts.agg(F.max("_rows").alias("top"), F.sum("_rows").alias("total")).first()
+    threshold = max(min_rows, (seen["total"] or 0) // max_keys)
+    if (seen["top"] or 0) <= threshold:
         return None
-    return F.broadcast(spark.createDataFrame(rows, found.schema))
+    found = counts.where(F.col("_rows") > threshold).select(key)
+    return F.broadcast(df.sparkSession.createDataFrame(found.collect(), found.schema))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -63,3 +63,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: rows and partitions stay fixed when an executor is lost."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For frames that several later jobs read: each job then scans only the columns and partitions
+    it needs, and a lost executor costs nothing that was already written.
+    """
+    path = staging_path(df.sparkSession, label)
+    writer = df.write.mode("overwrite").option("compression", "zstd")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
