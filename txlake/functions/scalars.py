@@ -65,7 +65,11 @@ def decode_decimal(raw: Column, precision: int = 10, scale: int = 2) -> Column:
 
 def encode_decimal(amount: Column, scale: int = 2) -> Column:
     """Inverse of :func:`decode_decimal` with the fewest whole bytes."""
-    number = unscaled(amount, scale)
+    return encode_unscaled(unscaled(amount, scale))
+
+
+def encode_unscaled(number: Column) -> Column:
+    """Long to big-endian two's-complement bytes, as few as keep the sign."""
     full = F.lpad(F.hex(number), 16, "0")
     # Bytes needed so that the sign bit survives: compare against 2^(8b-1).
     size = F.lit(8)

@@ -39,10 +39,14 @@ TERMINALS = TableSpec("terminals", ("terminal_id",), location_image("terminal_id
 
 
 def _parsed(log: DataFrame, spec: TableSpec) -> DataFrame:
-    """One JSON parse per event; a tombstone (NULL value) carries no state and is skipped."""
+    """One JSON parse per event; a tombstone (NULL value) carries no state and is skipped.
+
+    The parse sits in a generator, which the optimizer neither repeats nor moves: as a plain
+    column it would be copied into every filter and field that uses it.
+    """
     event = F.from_json(F.col("value").cast("string"), envelope(spec.image))["payload"]
     rows = log.where(F.col("value").isNotNull()).select(
-        event.alias("_event"), "key", "value", "partition", "offset"
+        "key", "value", "partition", "offset", F.explode(F.array(event)).alias("_event")
     )
     image = F.when(F.col("_event.op") == "d", F.col("_event.before")).otherwise(
         F.col("_event.after")
@@ -90,13 +94,12 @@ def latest_image(
 ) -> DataFrame:
     """The last change per key by log position.
 
-    ``max_by`` combines on the map side: a key with any number of versions sends one row per task.
+    The maximum of a struct that starts with the position combines on the map side: a key with any
+    number of versions sends one row per task. Equal positions are told apart by the values.
     """
     order = ORDER if order is None else order
-    rest = [c for c in changes.columns if c not in keys]
-    last = changes.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
-    )
+    rest = [c for c in changes.columns if c not in keys and c not in order]
+    last = changes.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_last"))
     out = last.select(*[F.col(c) if c in keys else F.col(f"_last.{c}") for c in changes.columns])
     if keep_deletes or "_op" not in changes.columns:
         return out

@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.functions.scalars import day_index, encode_decimal, hash_fraction
+from txlake.functions.scalars import day_index, encode_unscaled, hash_fraction, unscaled
 from txlake.operators.ordering import top_k
 from txlake.session import pin_utc
 
@@ -133,30 +133,37 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every event is created; ``view`` and ``signup`` events are then updated (amount + 1), ``error``
     events deleted, and each delete is followed by a tombstone.
     """
-    e = transactions(spark, sf_dir, ["event_type"])
-
-    def image(amount):
-        return F.struct(
-            "tx_id", F.unix_micros("tx_datetime").alias("tx_datetime"), "customer_id",
-            "terminal_id", encode_decimal(amount).alias("tx_amount"),
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    def once(df: DataFrame, **columns) -> DataFrame:
+        """Add columns through a generator, so that later expressions do not repeat them."""
+        made = F.struct(*[c.alias(n) for n, c in columns.items()])
+        return df.select("*", F.inline(F.array(made)))
+
+    def image(cents):
+        return text(
+            '{"tx_id":', F.col("tx_id"), ',"tx_datetime":', F.col("us"),
+            ',"customer_id":', F.col("customer_id"), ',"terminal_id":', F.col("terminal_id"),
+            ',"tx_amount":"', F.base64(encode_unscaled(cents)), '"}',
         )
 
-    old, new = image(F.col("tx_amount")), image(F.col("tx_amount") + F.lit(1).cast("decimal(10,2)"))
-    nothing = F.lit(None).cast(e.select(old.alias("i")).schema["i"].dataType)
+    e = once(
+        transactions(spark, sf_dir, ["event_type"]),
+        us=F.unix_micros("tx_datetime"), cents=unscaled(F.col("tx_amount")),
+    )
+    e = once(e, old=image(F.col("cents")), new=image(F.col("cents") + 100))
+    old, new, nothing = F.col("old"), F.col("new"), F.lit("null")
 
     def change(step: int, op: str, before, after, when):
-        at = F.unix_micros("tx_datetime") + step
-        payload = F.struct(
-            before.alias("before"), after.alias("after"),
-            F.struct(
-                (F.col("tx_id") * 3 + step).alias("lsn"), at.alias("ts_us"),
-                F.lit("transactions").alias("table"), F.lit("false").alias("snapshot"),
-            ).alias("source"),
-            F.lit(op).alias("op"), at.alias("ts_us"),
+        at = F.col("us") + step
+        json = text(
+            '{"payload":{"before":', before, ',"after":', after,
+            ',"source":{"lsn":', F.col("tx_id") * 3 + step, ',"ts_us":', at,
+            ',"table":"transactions","snapshot":"false"},"op":"' + op + '","ts_us":', at, "}}",
         )
         return F.struct(
-            when.alias("keep"), F.lit(step).alias("step"),
-            F.to_json(F.struct(payload.alias("payload"))).alias("json"),
+            when.alias("keep"), F.lit(step).alias("step"), F.when(when, json).alias("json")
         )
 
     kind = F.col("event_type")
@@ -167,13 +174,13 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         change(2, "d", old, nothing, deleted),
         F.struct(deleted.alias("keep"), F.lit(3).alias("step"), F.lit(None).cast("string").alias("json")),
     )
-    return e.select("tx_id", "tx_datetime", F.explode(steps).alias("c")).where("c.keep").select(
+    return e.select("tx_id", "us", F.explode(steps).alias("c")).where("c.keep").select(
         F.to_json(F.struct("tx_id")).cast("binary").alias("key"),
         F.col("c.json").cast("binary").alias("value"),
         F.lit("payment.transactions").alias("topic"),
         F.pmod("tx_id", F.lit(8)).cast("int").alias("partition"),
         (F.col("tx_id") * 4 + F.col("c.step")).alias("offset"),
-        F.timestamp_micros(F.unix_micros("tx_datetime") + F.col("c.step")).alias("timestamp"),
+        F.timestamp_micros(F.col("us") + F.col("c.step")).alias("timestamp"),
     )
 
 
