@@ -64,24 +64,32 @@ def sequential_ids(df: DataFrame, order: list, name: str, start: int = 0) -> Dat
     return ranked.withColumn(name, F.col(name) + start) if start else ranked
 
 
-def running_totals(df: DataFrame, groups: list[str], order: list, values: list[str]) -> DataFrame:
-    """Add ``<value>_before``: the sum over all earlier rows of the group under ``order``."""
+def running_totals(
+    df: DataFrame, groups: list[str], order: list, values: dict[str, Column]
+) -> DataFrame:
+    """Add ``<name>_before``: the sum of the value over all earlier rows of the group.
+
+    Rows with the same ``order`` come in any sequence; make it total, or such that it does not
+    matter. The values are evaluated on the sorted copy, which holds only the columns of ``df``.
+    """
     rows = sorted_slices(df, *groups, *order)
-    per_slice = rows.groupBy(_SLICE, *groups).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    per_slice = rows.groupBy(_SLICE, *groups).agg(
+        *[F.sum(v).alias(f"_t_{n}") for n, v in values.items()]
+    )
     earlier = Window.partitionBy(*groups).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = _carry(
         per_slice,
         groups,
-        [F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_c_{v}") for v in values],
+        [F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in values],
     )
     inside = (
         Window.partitionBy(_SLICE, *groups).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
     )
     local = rows.select(
-        "*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_l_{v}") for v in values]
+        "*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_l_{n}") for n, v in values.items()]
     )
     return local.join(carried, _same(groups)).select(
-        *df.columns, *[(F.col(f"_l_{v}") + F.col(f"_c_{v}")).alias(f"{v}_before") for v in values]
+        *df.columns, *[(F.col(f"_l_{n}") + F.col(f"_c_{n}")).alias(f"{n}_before") for n in values]
     )
 
 

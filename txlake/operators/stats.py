@@ -59,7 +59,7 @@ def profile(df: DataFrame, columns: list[str], quantiles=QUARTILES) -> DataFrame
     )
     # -0.0 and 0.0 group as one value.
     counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counted, ["column"], ["value"], ["n"])
+    ranked = running_totals(counted, ["column"], ["value"], {"n": F.col("n")})
     sizes = basics.select(F.col("column").alias("_col"), F.col("count").alias("_size"))
     placed = ranked.join(F.broadcast(sizes), F.col("column") == F.col("_col"))
     first, last = F.col("n_before"), F.col("n_before") + F.col("n") - 1
