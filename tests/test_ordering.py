@@ -1,0 +1,89 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from txlake.operators import ordering, skew
+
+
+def data(seed=0, n=500):
+    rng = random.Random(seed)
+    # Two thirds of the rows share a group and most share an order value.
+    return [(i, rng.choice("aab"), rng.choice([1, 1, 1, 5, 9]), rng.randrange(10)) for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def df(spark):
+    return spark.createDataFrame(data(), "id long, g string, o long, v long").repartition(7)
+
+
+@pytest.fixture
+def many_slices(spark):
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_slices_split_a_hot_value(spark, df, many_slices):
+    sizes = ordering.sorted_slices(df, "o", "id").groupBy("_slice").count().collect()
+    assert len(sizes) == 4
+    assert max(r["count"] for r in sizes) < 250
+
+
+def test_sequential_ids(df, many_slices):
+    got = {r.id: r.n for r in ordering.sequential_ids(df, ["o", "id"], "n", start=10).collect()}
+    want = sorted(data(), key=lambda r: (r[2], r[0]))
+    assert got == {r[0]: i + 10 for i, r in enumerate(want)}
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_rank_in_group(df, many_slices, monkeypatch, limit):
+    monkeypatch.setattr(ordering, "broadcast_if_small", lambda x: skew.broadcast_if_small(x, limit))
+    got = {r.id: r.n for r in ordering.rank_in_group(df, ["g"], [F.col("o").desc(), "id"], "n").collect()}
+    want = {}
+    for g in "ab":
+        group = sorted((r for r in data() if r[1] == g), key=lambda r: (-r[2], r[0]))
+        want |= {r[0]: i for i, r in enumerate(group)}
+    assert got == want
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_running_totals(df, many_slices, monkeypatch, limit):
+    monkeypatch.setattr(ordering, "broadcast_if_small", lambda x: skew.broadcast_if_small(x, limit))
+    out = ordering.running_totals(df, ["g"], ["o", "id"], {"v": F.col("v"), "n": F.lit(1)})
+    want, sums = {}, {}
+    for i, g, _, v in sorted(data(), key=lambda r: (r[2], r[0])):
+        s, n = sums.get(g, (0, 0))
+        want[i] = (s, n)
+        sums[g] = (s + v, n + 1)
+    assert {r.id: (r.v_before, r.n_before) for r in out.collect()} == want
+
+
+@pytest.mark.parametrize("bound", [None, 5])
+def test_top_k(df, bound):
+    out = ordering.top_k(df, ["g"], [F.col("v").desc(), "id"], 3, "r", "id", at_most=bound, salts=4)
+    want = {
+        (r[0], i + 1)
+        for g in "ab"
+        for i, r in enumerate(sorted((r for r in data() if r[1] == g), key=lambda r: (-r[3], r[0]))[:3])
+    }
+    assert {(r.id, r.r) for r in out.collect()} == want
+
+
+def test_hot_keys(spark, df):
+    assert skew.hot_keys(df, "g", min_rows=1000) is None
+    hot = skew.hot_keys(df, "g", min_rows=200)
+    assert [r.g for r in hot.collect()] == ["a"]
+    # A key under the share that bounds the list is not hot, whatever min_rows says.
+    assert skew.hot_keys(df, "id", min_rows=0, max_keys=10) is None
+    assert skew.hot_keys(df.where("false"), "g", min_rows=0) is None
+
+
+def test_broadcast_if_small(spark):
+    small = skew.broadcast_if_small(spark.range(5), 5)
+    assert small.count() == 5
+    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
+    large = skew.broadcast_if_small(spark.range(6), 5)
+    assert large.count() == 6
+    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()

@@ -1,0 +1,127 @@
+import math
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from txlake.operators import labels, radius, stats
+
+
+def reach(spark, customers, terminals, r):
+    c = spark.createDataFrame(customers, "customer_id long, x_location double, y_location double")
+    t = spark.createDataFrame(terminals, "terminal_id long, x_location double, y_location double")
+    out = radius.within_radius(c, t, r).collect()
+    assert all(x.nb_terminals == len(x.available_terminals) for x in out)
+    return {x.customer_id: x.available_terminals for x in out}
+
+
+def test_radius_edges(spark):
+    terminals = [(1, 5.0, 0.0), (2, 4.999, 0.0), (3, -4.0, 0.0), (4, 0.0, 0.0)]
+    customers = [(10, 0.0, 0.0), (11, -0.0, 0.0), (12, 5.0, 5.0), (13, 100.0, 100.0), (14, None, 1.0)]
+    got = reach(spark, customers, terminals, 5.0)
+    assert got[10] == [2, 3, 4]  # distance exactly r is out
+    assert got[11] == [2, 3, 4]
+    assert got[12] == []         # both candidates at distance r or more
+    assert got[13] == [] and got[14] == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_radius_random(spark, seed):
+    rng = random.Random(seed)
+    point = lambda: float(rng.choice([0, 2.5, 5, 7.5, rng.uniform(-10, 10)]))
+    customers = [(i, point(), point()) for i in range(40)]
+    terminals = [(i, point(), point()) for i in range(60)]
+    r = rng.choice([1.0, 2.5, 5.0])
+    want = {
+        c: [t for t, tx, ty in terminals if math.sqrt((x - tx) ** 2 + (y - ty) ** 2) < r] for c, x, y in customers
+    }
+    assert reach(spark, customers, terminals, r) == want
+
+
+def test_radius_has_no_pairing_of_all_rows(spark):
+    c = spark.createDataFrame([(1, 0.0, 0.0)], "customer_id long, x_location double, y_location double")
+    t = spark.createDataFrame([(1, 0.0, 0.0)], "terminal_id long, x_location double, y_location double")
+    plan = radius.within_radius(c, t, 1.0)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+TX = "tx_id long, customer_id long, terminal_id long, tx_time_days long, tx_amount decimal(10,2)"
+
+
+def label(spark, rows, terms=(), cards=()):
+    df = spark.createDataFrame([(*r[:4], Decimal(str(r[4]))) for r in rows], TX)
+    t = spark.createDataFrame(list(terms), "terminal_id long, start_day long")
+    c = spark.createDataFrame(list(cards), "customer_id long, start_day long")
+    out = labels.label_scenarios(df, t, c)
+    assert out.count() == len(rows)
+    return out
+
+
+def test_amount_and_terminal_days(spark):
+    rows = [(0, 1, 1, 0, 220), (1, 1, 1, 0, 220.01), (2, 1, 9, 4, 1), (3, 1, 9, 5, 1), (4, 1, 9, 32, 1), (5, 1, 9, 33, 300)]
+    got = {r.tx_id: r.tx_fraud_scenario for r in label(spark, rows, [(9, 5)]).collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 2, 4: 2, 5: 1}  # days 5..32 count, 33 no longer
+
+
+def test_customer_windows(spark):
+    """Start days 0 and 1 cover days 0..13 and 1..14; each raises a third of its rows."""
+    rows = [(i, 5, 1, i % 16, 10) for i in range(64)]
+    out = label(spark, rows, [(1, 0)], [(5, 0), (5, 1)]).collect()
+    inside = {w: [r for r in out if w <= r.tx_time_days < w + 14] for w in (0, 1)}
+    assert sum(r.scenario_3_hits for r in out) == sum(len(v) // 3 for v in inside.values())
+    assert max(r.scenario_3_hits for r in out) == 2
+    for r in out:
+        assert r.tx_amount == Decimal(10) * 5**r.scenario_3_hits
+        assert r.tx_fraud_scenario == (3 if r.scenario_3_hits else 2)
+        assert r.scenario_3_hits == 0 or r.tx_time_days <= 14
+
+
+def test_hits_do_not_depend_on_layout(spark):
+    rows = [(i, i % 4, 1, i % 30, 1) for i in range(200)]
+    cards = [(c, d) for c in range(3) for d in range(0, 20, 5)]
+    a = sorted(label(spark, rows, [], cards).collect())
+    b = sorted(label(spark, list(reversed(rows)), [], cards).collect())
+    assert a == b
+
+
+def test_summary(spark):
+    rows = [(0, 1, 1, 0, 300), (1, 1, 9, 0, 300), (2, 1, 9, 0, 1), (3, 1, 2, 0, 1)]
+    r = labels.fraud_summary(label(spark, rows, [(9, 0)])).first()
+    assert (r.nb_tx, r.nb_fraud, r.fraud_ratio) == (4, 3, 0.75)
+    assert (r.nb_scenario_1, r.nb_scenario_2, r.added_by_scenario_1, r.added_by_scenario_2) == (1, 2, 2, 1)
+
+
+def test_profile_quantiles(spark):
+    import pandas as pd
+
+    rng = random.Random(0)
+    values = [rng.choice([1.0, 2.0, rng.uniform(-5, 5), None]) for _ in range(301)]
+    df = spark.createDataFrame([(v, 3.0) for v in values], "a double, b double")
+    got = {r["column"]: r for r in stats.profile(df, ["a", "b"]).collect()}
+    want = pd.Series(values, dtype=float).describe()
+    for ours, theirs in (("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"),
+                         ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")):
+        assert got["a"][ours] == pytest.approx(want[theirs], abs=1e-12)
+    assert (got["b"].p25, got["b"].std) == (3.0, 0.0)
+
+
+def test_scaler(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
+    scaler = stats.fit_scaler(df, ["a", "b"])
+    assert scaler == {"a": (2.0, 1.0), "b": (5.0, 0.0)}
+    assert [tuple(r) for r in stats.scale_features(df, scaler).orderBy("a").collect()] == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_daily_stats_count_cards_once(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame(
+        [(0, 1, 1), (0, 1, 1), (0, 2, 0), (1, 3, 0)], "tx_time_days long, customer_id long, tx_fraud int"
+    )
+    out = stats.daily_stats(df, dt.date(2024, 1, 1)).orderBy("tx_time_days").collect()
+    assert [tuple(r) for r in out] == [(0, 3, 2, 1, dt.date(2024, 1, 1)), (1, 1, 0, 0, dt.date(2024, 1, 2))]
+    long = stats.daily_stats_long(spark.createDataFrame(out)).where(F.col("tx_time_days") == 0).collect()
+    assert {(r.stat_type, r.value) for r in long} == {
+        ("nb_tx_per_day", 0.06), ("nb_fraud_per_day", 2.0), ("nb_fraudcard_per_day", 1.0)
+    }
