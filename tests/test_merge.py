@@ -14,50 +14,71 @@ def frame(spark, rows, at):
     return spark.createDataFrame([(i, x, at, at) for i, x in rows], COLS)
 
 
-def merged(spark, old, new):
-    out = merge.merge_upsert(frame(spark, old, T1), frame(spark, new, T2), ["id"])
-    return sorted(tuple(r) for r in out.collect())
+@pytest.fixture(params=[0, 100], ids=["shuffle", "broadcast"])
+def merged(spark, request):
+    def run(old, new):
+        out = merge.merge_upsert(
+            frame(spark, old, T1), frame(spark, new, T2), ["id"], broadcast_rows=request.param
+        )
+        return sorted(tuple(r) for r in out.collect())
 
+    return run
 
-def test_insert_update_and_untouched(spark):
-    assert merged(spark, [(1, "a"), (2, "b")], [(2, "B"), (3, "c")]) == [
+
+def test_insert_update_and_untouched(merged):
+    assert merged([(1, "a"), (2, "b")], [(2, "B"), (3, "c")]) == [
         (1, "a", T1, T1), (2, "B", T1, T2), (3, "c", T2, T2)
     ]
 
 
-def test_insert_only_and_update_only(spark):
-    assert merged(spark, [], [(1, "a")]) == [(1, "a", T2, T2)]
-    assert merged(spark, [(1, "a")], [(1, "b")]) == [(1, "b", T1, T2)]
+def test_insert_only_and_update_only(merged):
+    assert merged([], [(1, "a")]) == [(1, "a", T2, T2)]
+    assert merged([(1, "a")], [(1, "b")]) == [(1, "b", T1, T2)]
 
 
-def test_update_to_null_is_an_update(spark):
-    assert merged(spark, [(1, "a")], [(1, None)]) == [(1, None, T1, T2)]
+def test_update_to_null_is_an_update(merged):
+    assert merged([(1, "a")], [(1, None)]) == [(1, None, T1, T2)]
 
 
 @pytest.mark.parametrize(
     ("rows", "text"), [([(1, "a"), (1, "b")], "more than one row"), ([(None, "a")], "NULL key")]
 )
-def test_bad_source_fails(spark, rows, text):
+def test_bad_source_fails(merged, rows, text):
     with pytest.raises(Exception, match=text):
-        merged(spark, [(1, "a")], rows)
+        merged([(1, "a")], rows)
 
 
 def test_bad_source_fails_even_if_no_value_is_read(spark):
-    out = merge.merge_upsert(frame(spark, [(1, "a")], T1), frame(spark, [(1, "a"), (1, "b")], T2), ["id"])
-    with pytest.raises(Exception, match="more than one row"):
-        out.select("id").collect()
+    old, new = frame(spark, [(1, "a")], T1), frame(spark, [(1, "a"), (1, "b")], T2)
+    for rows in (0, 100):
+        with pytest.raises(Exception, match="more than one row"):
+            merge.merge_upsert(old, new, ["id"], broadcast_rows=rows).select("id").collect()
 
 
-def test_target_null_keys_pass(spark):
-    out = merge.merge_upsert(frame(spark, [(None, "x"), (1, "a")], T1), frame(spark, [(1, "b")], T2), ["id"])
+@pytest.mark.parametrize("rows", [0, 100])
+def test_target_null_keys_pass(spark, rows):
+    old, new = frame(spark, [(None, "x"), (1, "a")], T1), frame(spark, [(1, "b")], T2)
+    out = merge.merge_upsert(old, new, ["id"], broadcast_rows=rows)
     assert {(r.id, r.v) for r in out.collect()} == {(None, "x"), (1, "b")}
 
 
-def test_moved_date_is_inserted_again(spark):
+def test_small_source_does_not_shuffle_the_target(spark, tmp_path):
+    spark.range(100).selectExpr("id", "'a' AS v").write.parquet(f"{tmp_path}/t")
+    target = spark.read.parquet(f"{tmp_path}/t")
+    source = spark.createDataFrame([(5, "b"), (500, "c")], "id long, v string")
+    out = merge.merge_upsert(target, source, ["id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Only the few matched keys are exchanged (for the distinct), never the target's rows.
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert out.count() == 101
+
+
+@pytest.mark.parametrize("rows_", [0, 100])
+def test_moved_date_is_inserted_again(spark, rows_):
     day = F.to_date(F.col("v"))
     old = frame(spark, [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-09")], T1).withColumn("dt", day)
     new = frame(spark, [(1, "2024-01-02"), (2, "2024-01-02")], T2).withColumn("dt", day)
-    rows = merge.merge_touched_partitions(old, new, ["id"]).collect()
+    rows = merge.merge_touched_partitions(old, new, ["id"], broadcast_rows=rows_).collect()
     # Only 2 January is touched: 1 is new there, 2 is updated; 1 January and 9 January stay as they are.
     assert sorted((r.id, r.v, r.row_created_timestamp, r.row_updated_timestamp) for r in rows) == [
         (1, "2024-01-02", T2, T2), (2, "2024-01-02", T1, T2)

@@ -46,9 +46,12 @@ def from_epoch_micros(us: Column, truncate_seconds: bool = False) -> Column:
     return F.date_trunc("second", ts) if truncate_seconds else ts
 
 
-def unscaled(amount: Column, scale: int = 2) -> Column:
-    """Decimal amount as a whole number of its smallest unit, so sums are exact longs."""
-    return (amount.cast(f"decimal(17,{scale})") * 10**scale).cast("long")
+def unscaled(amount: Column, scale: int = 2, precision: int = 10) -> Column:
+    """Decimal amount as a whole number of its smallest unit, so sums are exact longs.
+
+    Up to precision 14 the product fits a long and Spark computes it without big decimals.
+    """
+    return (amount.cast(f"decimal({precision},{scale})") * 10**scale).cast("long")
 
 
 def decode_decimal(raw: Column, precision: int = 10, scale: int = 2) -> Column:
@@ -63,9 +66,9 @@ def decode_decimal(raw: Column, precision: int = 10, scale: int = 2) -> Column:
     return F.when(F.length(raw) <= 8, number.try_cast(f"decimal({precision},{scale})"))
 
 
-def encode_decimal(amount: Column, scale: int = 2) -> Column:
+def encode_decimal(amount: Column, scale: int = 2, precision: int = 10) -> Column:
     """Inverse of :func:`decode_decimal` with the fewest whole bytes."""
-    return encode_unscaled(unscaled(amount, scale))
+    return encode_unscaled(unscaled(amount, scale, precision))
 
 
 def encode_unscaled(number: Column) -> Column:

@@ -19,9 +19,10 @@ ONE_IN = 3
 
 def _starts(compromises: DataFrame, entity: str) -> DataFrame:
     """One row per entity with the array of its start days (at most one per calendar day)."""
-    return compromises.groupBy(F.col(entity).alias(f"_{entity}")).agg(
+    starts = compromises.groupBy(F.col(entity).alias(f"_{entity}")).agg(
         F.array_sort(F.collect_set("start_day")).alias(f"_{entity}_days")
     )
+    return broadcast_if_small(starts)
 
 
 def _covering(starts: str, day: str, length: int):
@@ -38,8 +39,9 @@ def label_scenarios(
     per start day by hash; each pick multiplies the amount again, so a row in several windows can
     be raised several times (``scenario_3_hits``). The highest scenario names the row.
 
-    A row is joined to at most one list of start days per side, so rows never fan out; only the
-    few rows inside a customer window are ranked, in slices that hold across tasks.
+    A row is joined to at most one list of start days per side, so rows never fan out, and the
+    lists are broadcast if they are small. Only rows inside a customer window are ranked, over the
+    sorted slices of all tasks.
     """
     terms = _starts(terminal_compromises, "terminal_id")
     cards = _starts(customer_compromises, "customer_id")
@@ -55,7 +57,7 @@ def label_scenarios(
     sizes = broadcast_if_small(
         ranked.groupBy(F.col("_start").alias("_s")).agg(F.count(F.lit(1)).alias("_size"))
     )
-    hits = (
+    hits = broadcast_if_small(
         ranked.join(sizes, F.col("_start") == F.col("_s"))
         .where(F.col("_rank") < F.floor(F.col("_size") / ONE_IN))
         .groupBy(F.col("tx_id").alias("_tx"))

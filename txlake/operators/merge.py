@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txlake.operators.skew import BROADCAST_ROWS, broadcast_if_small, small_copy
+
 CREATED, UPDATED = "row_created_timestamp", "row_updated_timestamp"
 
 
@@ -38,12 +40,15 @@ def _checked(source: DataFrame, keys: list[str]) -> DataFrame:
 
 def merge_upsert(
     target: DataFrame, source: DataFrame, keys: list[str] | tuple[str, ...],
-    keep: tuple[str, ...] = (CREATED,),
+    keep: tuple[str, ...] = (CREATED,), broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Target after the upsert: matched rows take the source's columns but ``keep``.
 
     Columns the source lacks stay as they are (NULL on insert). Rows of the target with a NULL key
     match nothing and pass through.
+
+    A source of at most ``broadcast_rows`` rows, the usual micro-batch, is broadcast and the target
+    is never shuffled; a larger one meets it in a full outer join.
     """
     keys = list(keys)
     incoming = _checked(source, keys).select(
@@ -52,8 +57,7 @@ def merge_upsert(
     there = target.withColumn("_old", F.lit(1))
     cond = F.lit(True)
     for key in keys:
-        cond = cond & (there[key] == incoming[f"_s_{key}"])
-    joined = there.join(incoming, cond, "full_outer")
+        cond = cond & (F.col(key) == F.col(f"_s_{key}"))
     out = []
     for name in target.columns:
         old = F.col(name)
@@ -66,11 +70,21 @@ def merge_upsert(
         else:
             new = F.when(F.col("_in").isNotNull(), F.col(f"_row.{name}")).otherwise(old)
         out.append(new.alias(name))
-    return joined.select(*out)
+    small = small_copy(incoming, broadcast_rows)
+    if small is None:
+        return there.join(incoming, cond, "full_outer").select(*out)
+    # The target's matched keys are no more than the source's; they tell which rows to insert.
+    taken = target.select(*keys).join(small, cond, "left_semi").distinct()
+    fresh = small.join(taken, cond, "left_anti")
+    inserts = fresh.select(
+        "*", *[F.lit(None).cast(kind).alias(name) for name, kind in there.dtypes]
+    )
+    return there.join(small, cond, "left").select(*out).unionByName(inserts.select(*out))
 
 
 def merge_touched_partitions(
     target: DataFrame, source: DataFrame, keys: list[str] | tuple[str, ...], partition: str = "dt",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Merged rows of only those partitions the source touches.
 
@@ -78,9 +92,10 @@ def merge_touched_partitions(
     changed is inserted under the new date. The semi join lets Spark prune the target's files;
     write the result with dynamic partition overwrite to replace just these partitions.
     """
-    days = source.select(partition).distinct()
+    days = broadcast_if_small(source.select(partition).distinct())
     touched = target.join(days, partition, "left_semi").select(*target.columns)
-    return merge_upsert(touched, source, [partition, *[k for k in keys if k != partition]])
+    every = [partition, *[k for k in keys if k != partition]]
+    return merge_upsert(touched, source, every, broadcast_rows=broadcast_rows)
 
 
 def merge_into_table(

@@ -29,12 +29,18 @@ def hot_keys(
     return F.broadcast(df.sparkSession.createDataFrame(found.collect(), found.schema))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else hand it back unchanged.
+def small_copy(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """A local copy of ``df`` marked for broadcast, or None if it has more than ``max_rows`` rows.
 
-    At most ``max_rows + 1`` rows reach the driver; beyond the bound the join stays a shuffle.
+    At most ``max_rows + 1`` rows reach the driver.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
-        return df
+        return None
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The broadcast copy of a small ``df``; beyond the bound ``df`` itself, for a shuffle join."""
+    copy = small_copy(df, max_rows)
+    return df if copy is None else copy

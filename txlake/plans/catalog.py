@@ -227,7 +227,7 @@ def cdc_decode_decimal(spark, sf_dir):
     large = (amount * 100000).cast("decimal(14,2)") - F.lit("12345.67").cast("decimal(10,2)")
     sent = tx.select(
         "tx_id", encode_decimal(amount).alias("a"), encode_decimal(-amount).alias("r"),
-        encode_decimal(large).alias("l"),
+        encode_decimal(large, precision=14).alias("l"),
     )
     return _plain(
         sent.select(
