@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from txlake.operators.models import score
+from txlake.operators.skew import broadcast_if_small
 from txlake.operators.snapshots import enrich
 
 INTERVAL = "10 seconds"
@@ -45,3 +48,40 @@ def start_append(
         .trigger(**trigger)
         .start(path)
     )
+
+
+def _of_batch(features: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The feature rows of the entities in a batch: a filtered scan while they are few."""
+    ids = broadcast_if_small(batch.select(key).distinct())
+    return features.join(ids, key, "left_semi")
+
+
+def start_scoring(
+    tx: DataFrame, read_features: Callable[[], tuple[DataFrame, DataFrame]],
+    model: PipelineModel, path: str, checkpoint: str, interval: str | None = INTERVAL,
+) -> StreamingQuery:
+    """Score each micro-batch with the feature tables as they are at that moment.
+
+    ``read_features`` returns the customer and terminal features and is called per batch, so new
+    snapshots are used without a restart. The feature tables, large next to a batch, are reduced
+    to its entities before the joins and never shuffled for it. A batch writes its own ``epoch``
+    folder and replaces it if it is run again, so each row is kept once.
+    """
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            customers, terminals = read_features()
+            rows = scored(
+                batch,
+                _of_batch(customers, batch, "customer_id"),
+                _of_batch(terminals, batch, "terminal_id"),
+                model,
+            )
+            rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        finally:
+            batch.unpersist()
+
+    writer = tx.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return writer.trigger(**trigger).start()
