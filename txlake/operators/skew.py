@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 MIN_HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
 def hot_keys(
@@ -26,18 +27,19 @@ def hot_keys(
     if (seen["top"] or 0) <= threshold:
         return None
     found = counts.where(F.col("_rows") > threshold).select(key)
-    return F.broadcast(df.sparkSession.createDataFrame(found.collect(), found.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(found.toArrow(), found.schema))
 
 
 def small_copy(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """A local copy of ``df`` marked for broadcast, or None if it has more than ``max_rows`` rows.
+    """A local copy of ``df`` marked for broadcast, or None if it is not small.
 
-    At most ``max_rows + 1`` rows reach the driver.
+    Small means at most ``max_rows`` rows and ``BROADCAST_BYTES`` bytes. At most ``max_rows + 1``
+    rows reach the driver, as Arrow batches.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    table = df.limit(max_rows + 1).toArrow()
+    if table.num_rows > max_rows or table.nbytes > BROADCAST_BYTES:
         return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
