@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txlake.operators.cdc import META, TableSpec, latest_image, parse_changes
 from txlake.operators.merge import merge_upsert, with_audit
+from txlake.operators.skew import broadcast_if_small
+from txlake.session import materialize
 
 INTERVAL = "5 seconds"
 
@@ -53,14 +56,36 @@ def start_merge_ingest(
     return _start(parse_changes(log, spec), each, checkpoint, interval)
 
 
-def table_changes(spark: SparkSession, spec: TableSpec, changes_path: str) -> DataFrame:
+def table_changes(spark: SparkSession, changes_path: str) -> DataFrame:
+    """All landed changes with the ``epoch`` of their batch."""
     return spark.read.parquet(changes_path)
 
 
-def table_state(spark: SparkSession, spec: TableSpec, changes_path: str) -> DataFrame:
-    """Current rows: the latest change per key over all batches, deleted keys left out."""
-    changes = table_changes(spark, spec, changes_path)
-    return latest_image(changes, spec.keys).select(*spec.columns)
+def compact_changes(spark: SparkSession, spec: TableSpec, changes_path: str, base_path: str) -> None:
+    """Write one image per key, deletes included, of all batches landed so far to a new folder.
+
+    The stream goes on while this runs. Read the result with :func:`table_state`.
+    """
+    changes = table_changes(spark, changes_path)
+    last = changes.agg(F.max("epoch")).first()[0]
+    folded = latest_image(changes.where(F.col("epoch") <= last).drop("epoch"), spec.keys, keep_deletes=True)
+    folded.withColumn("epoch", F.lit(last)).write.mode("errorifexists").parquet(base_path)
+
+
+def table_state(
+    spark: SparkSession, spec: TableSpec, changes_path: str, base_path: str | None = None
+) -> DataFrame:
+    """Current rows: the latest change per key over all batches, deleted keys left out.
+
+    With the ``base_path`` of a compaction only the batches after it are read from the changes.
+    """
+    changes = table_changes(spark, changes_path)
+    if base_path is not None:
+        base = spark.read.parquet(base_path)
+        done = base.agg(F.max("epoch")).first()[0]
+        if done is not None:
+            changes = base.unionByName(changes.where(F.col("epoch") > done))
+    return latest_image(changes.drop("epoch"), spec.keys).select(*spec.columns)
 
 
 def fold_into(
@@ -70,8 +95,9 @@ def fold_into(
 
     Deleted keys leave the snapshot; the rest is upserted. Write the result to a new folder.
     """
-    latest = latest_image(changes, spec.keys, keep_deletes=True)
-    gone = latest.where("_op = 'd'").select(*spec.keys)
+    # Used for the deletes and the upsert: parsed and reduced once.
+    latest = materialize(latest_image(changes, spec.keys, keep_deletes=True))
+    gone = broadcast_if_small(latest.where("_op = 'd'").select(*spec.keys))
     live = latest.where("_op != 'd'").drop(*META)
     keys = list(spec.keys)
     return merge_upsert(snapshot.join(gone, keys, "left_anti"), with_audit(live, as_of), keys)
