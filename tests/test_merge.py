@@ -85,6 +85,21 @@ def test_moved_date_is_inserted_again(spark, rows_):
     ]
 
 
+@pytest.mark.parametrize("limit", [0, 100])
+def test_untouched_partitions_are_not_read(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(merge, "MAX_PARTITIONS", limit)
+    spark.range(30).selectExpr("id", "'a' AS v", "date_add(DATE'2024-01-01', cast(id % 10 AS int)) AS dt").write.partitionBy(
+        "dt"
+    ).parquet(f"{tmp_path}/t")
+    target = spark.read.parquet(f"{tmp_path}/t")
+    source = spark.createDataFrame([(3, "b", dt.date(2024, 1, 4))], "id long, v string, dt date")
+    out = merge.merge_touched_partitions(target, source, ["id"])
+    assert sorted((r.id, r.v) for r in out.collect()) == [(3, "b"), (13, "a"), (23, "a")]
+    if limit:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dt" in plan
+
+
 def test_tables(spark):
     spark.sql("DROP DATABASE IF EXISTS txlake_test CASCADE")
     name = tables.ensure_table(spark, "txlake_test", "transactions")

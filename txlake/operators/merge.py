@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.operators.skew import BROADCAST_ROWS, broadcast_if_small, small_copy
+from txlake.operators.skew import BROADCAST_ROWS, small_copy
 
 CREATED, UPDATED = "row_created_timestamp", "row_updated_timestamp"
+MAX_PARTITIONS = 10_000
 
 
 def with_audit(df: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -89,11 +90,16 @@ def merge_touched_partitions(
     """Merged rows of only those partitions the source touches.
 
     The partition column is part of the key, as with a MERGE on date and id: a row whose date
-    changed is inserted under the new date. The semi join lets Spark prune the target's files;
-    write the result with dynamic partition overwrite to replace just these partitions.
+    changed is inserted under the new date. The touched dates, one value per partition, become a
+    filter that keeps Spark from opening other files; write the result with dynamic partition
+    overwrite to replace just these partitions.
     """
-    days = broadcast_if_small(source.select(partition).distinct())
-    touched = target.join(days, partition, "left_semi").select(*target.columns)
+    days = [r[0] for r in source.select(partition).distinct().limit(MAX_PARTITIONS + 1).collect()]
+    if len(days) <= MAX_PARTITIONS:
+        touched = target.where(F.col(partition).isin(days))
+    else:
+        touched = target.join(source.select(partition).distinct(), partition, "left_semi")
+    touched = touched.select(*target.columns)
     every = [partition, *[k for k in keys if k != partition]]
     return merge_upsert(touched, source, every, broadcast_rows=broadcast_rows)
 

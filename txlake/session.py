@@ -18,6 +18,8 @@ def get_session(app: str = "txlake", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Checkpoint files go when the frames built on them are gone.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -55,8 +57,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/txlake/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, grouped by application for cleaning up afterwards."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/txlake/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
