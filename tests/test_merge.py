@@ -113,9 +113,10 @@ def test_tables(spark):
     tables.upsert_table(make([(2, 2), (3, 3)], T2), name, ["tx_id"], "dt")
     got = sorted((r.tx_id, r.row_created_timestamp, r.row_updated_timestamp) for r in spark.table(name).collect())
     assert got == [(1, T1, T1), (2, T1, T2), (3, T2, T2)]
-    rows = [(1, 0.0, 0.0, T1, T1)]
-    tables.upsert_table(spark.createDataFrame(rows, spark.table("txlake_test.customer").schema),
-                        "txlake_test.customer", ["customer_id"])
+    for x in (0.0, 1.0):
+        places = spark.createDataFrame([(1, x, 0.0)], "customer_id int, x_location double, y_location double")
+        tables.load_table(places, "txlake_test", "customer")
+    assert spark.table("txlake_test.customer").first().x_location == 1.0
     assert tables.run_sql(spark, "SELECT count(*) AS n FROM txlake_test.customer").first().n == 1
     tables.drop_table(spark, name)
     spark.sql("DROP DATABASE IF EXISTS txlake_test CASCADE")

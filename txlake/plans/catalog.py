@@ -354,6 +354,61 @@ def merge_upsert_partitioned(spark, sf_dir):
     )
 
 
+@query(
+    v.with_(
+        v.TX,
+        body=f"""SELECT tx_id, tx_datetime, customer_id, terminal_id,
+                 CAST(tx_amount + CASE WHEN tx_time_days >= 10 THEN 1 ELSE 0 END AS DOUBLE) AS tx_amount,
+                 {AUDIT_SQL.format(old="tx_time_days <= 14", new="tx_time_days >= 10")},
+                 strftime(CAST(tx_datetime AS DATE), '%Y-%m-%d') AS dt FROM tx""",
+    )
+)
+def bulk_load(spark, sf_dir):
+    """The two loads into a partitioned catalog table, made on the way and read back by name."""
+    base = staging_path(spark, "warehouse")
+    database = "txlake_" + base.rsplit("-", 1)[1]
+    old, new = _merge_inputs(spark, sf_dir)
+    for rows, at in ((old, BEFORE), (new, AFTER)):
+        as_of = F.lit(at).cast("timestamp")
+        table = tables.load_table(rows.select(*TX_ROW), database, "transactions", as_of, base)
+    return _plain(spark.table(table))
+
+
+PLACES = ["id", "x_location", "y_location"]
+
+
+@query(
+    v.with_(
+        v.CUSTOMERS, v.TERMINALS,
+        body="""SELECT 'customer' AS kind, customer_id AS id, x_location + 1 AS x_location, y_location FROM customers
+                UNION ALL SELECT 'terminal', terminal_id, x_location + 1, y_location FROM terminals""",
+    )
+)
+def cdc_locations(spark, sf_dir):
+    """Customers and terminals from their logs: a snapshot read, then every row moved by one."""
+
+    def state(rows, spec, key):
+        def event(op, step, x):
+            after = F.struct(F.col(key), x.alias("x_location"), F.col("y_location"))
+            position = (F.col(key) * 2 + step).alias("lsn")
+            payload = F.struct(
+                after.alias("after"), F.struct(position).alias("source"), F.lit(op).alias("op")
+            )
+            return F.to_json(F.struct(payload.alias("payload")))
+
+        events = F.array(event("r", 0, F.col("x_location")), event("u", 1, F.col("x_location") + 1))
+        log = rows.select(F.explode(events).alias("json")).select(
+            F.lit(None).cast("binary").alias("key"), F.col("json").cast("binary").alias("value"),
+            F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
+        )
+        out = cdc.current_state(log, spec)
+        return out.select(F.lit(spec.name.rstrip("s")).alias("kind"), F.col(key).alias("id"), *PLACES[1:])
+
+    return state(v.customers(spark, sf_dir), cdc.CUSTOMERS, "customer_id").unionByName(
+        state(v.terminals(spark, sf_dir), cdc.TERMINALS, "terminal_id")
+    )
+
+
 FOLD_DAY = 20
 
 

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txlake.operators.merge import merge_touched_partitions, merge_upsert
+from txlake.operators.merge import merge_touched_partitions, merge_upsert, with_audit
 from txlake.schemas import TABLES
 from txlake.session import materialize
 
 
-def ensure_table(spark: SparkSession, database: str, name: str, using: str = "parquet") -> str:
-    """Create the database and the table if they are not there; an existing one is never dropped."""
+def ensure_table(
+    spark: SparkSession, database: str, name: str, using: str = "parquet",
+    location: str | None = None,
+) -> str:
+    """Create the database (at ``location``) and the table if they are not there.
+
+    An existing table is never dropped.
+    """
     columns, partition = TABLES[name]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     layout = f" PARTITIONED BY ({partition})" if partition else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING {using}{layout}")
     return f"{database}.{name}"
@@ -30,13 +38,44 @@ def upsert_table(source: DataFrame, table: str, keys: list[str], partition: str
     """
     spark = source.sparkSession
     target = spark.table(table)
+    incoming = source.select(*target.columns)
     if partition:
-        merged = merge_touched_partitions(target, source.select(*target.columns), keys, partition)
+        merged = merge_touched_partitions(target, incoming, keys, partition)
     else:
-        merged = merge_upsert(target, source.select(*target.columns), keys)
-    fixed = materialize(merged.select(*target.columns))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    fixed.write.insertInto(table, overwrite=True)
+        merged = merge_upsert(target, incoming, keys)
+    # The table's own types, as MERGE would cast on assignment.
+    fixed = materialize(
+        merged.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
+    )
+    writer = fixed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.insertInto(table, overwrite=True)
+
+
+# The key each table is loaded by; dated tables are merged partition by partition.
+LOAD_KEYS = {
+    "customer": ["customer_id"],
+    "terminal": ["terminal_id"],
+    "transactions": ["tx_id"],
+    "feature_customer": ["customer_id"],
+    "feature_terminal": ["terminal_id"],
+}
+
+
+def load_table(
+    source: DataFrame, database: str, name: str, as_of: Column | None = None,
+    location: str | None = None,
+) -> str:
+    """Bulk load: make sure the table exists, add the audit columns and upsert.
+
+    A transaction's partition is the day of its time.
+    """
+    spark = source.sparkSession
+    table = ensure_table(spark, database, name, location=location)
+    partition = TABLES[name][1]
+    if partition and partition not in source.columns:
+        source = source.withColumn(partition, F.to_date("tx_datetime"))
+    upsert_table(with_audit(source, as_of), table, LOAD_KEYS[name], partition)
+    return table
 
 
 def run_sql(spark: SparkSession, statement: str, **frames: DataFrame) -> DataFrame:
