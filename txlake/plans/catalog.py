@@ -939,6 +939,37 @@ def score_foreign_model(spark, sf_dir):
     return out.select("tx_id", F.round("prediction", 6).alias("prediction"))
 
 
+SERVED = {**WEIGHTS, "customer_id_avg_amount_7day_window": -0.01, "terminal_id_risk_30day_window": 4.0}
+
+
+def _load_serving_model():
+    import numpy as np
+
+    weights = np.array(list(SERVED.values()))
+    return lambda frame: 1.0 / (1.0 + np.exp(-(frame.to_numpy() @ weights + BIAS)))
+
+
+@query(
+    f"SELECT tx_id, features_missing, round(1 / (1 + exp(-("
+    + " + ".join(f"CAST({w} AS DOUBLE) * {c}" for c, w in SERVED.items())
+    + f" + CAST({BIAS} AS DOUBLE)))), 6) AS prediction FROM ("
+    + ENRICH_SQL.replace("SELECT t.tx_id,", "SELECT t.tx_id, CAST(t.tx_amount AS DOUBLE) AS tx_amount,")
+    + ")"
+)
+def stream_score_foreign_model(spark, sf_dir):
+    """Stream, enrichment and a fixed Python model end to end."""
+    base = staging_path(spark, "score")
+    tx, cust, term = _serving_features(spark, sf_dir)
+    cust, term = stage(cust, "feature-customer"), stage(term, "feature-terminal")
+    scoring.start_scoring(
+        _transaction_stream(spark, tx, base), lambda: (cust, term),
+        lambda rows: models.score_with(rows, _load_serving_model, list(SERVED)),
+        f"{base}/out", f"{base}/offsets", interval=None,
+    ).awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("tx_id", "features_missing", F.round("prediction", 6).alias("prediction"))
+
+
 @query()
 def stream_score(spark, sf_dir):
     """Train on past days, store the model, load it and score the transactions as a stream."""

@@ -16,6 +16,9 @@ from txlake.operators.snapshots import enrich
 
 INTERVAL = "10 seconds"
 
+# A fitted pipeline, or a function that adds the prediction to enriched rows.
+Model = PipelineModel | Callable[[DataFrame], DataFrame]
+
 
 def stream_table(
     spark: SparkSession, path: str, schema: StructType, max_files: int | None = None
@@ -29,11 +32,12 @@ def stream_table(
 
 def scored(
     tx: DataFrame, customer_features: DataFrame, terminal_features: DataFrame,
-    model: PipelineModel,
+    model: Model,
 ) -> DataFrame:
     """Enrich and score; the same call serves batch and stream."""
     rows = enrich(tx, customer_features, terminal_features)
-    return score(model, rows.withColumn("processed_at", F.current_timestamp()))
+    rows = rows.withColumn("processed_at", F.current_timestamp())
+    return score(model, rows) if isinstance(model, PipelineModel) else model(rows)
 
 
 def start_append(
@@ -58,7 +62,7 @@ def _of_batch(features: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 def start_scoring(
     tx: DataFrame, read_features: Callable[[], tuple[DataFrame, DataFrame]],
-    model: PipelineModel, path: str, checkpoint: str, interval: str | None = INTERVAL,
+    model: Model, path: str, checkpoint: str, interval: str | None = INTERVAL,
 ) -> StreamingQuery:
     """Score each micro-batch with the feature tables as they are at that moment.
 
