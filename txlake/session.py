@@ -72,9 +72,13 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     """Write ``df`` to the shared folder and read it back.
 
     For frames that several later jobs read: each job then scans only the columns and partitions
-    it needs, and a lost executor costs nothing that was already written.
+    it needs, and a lost executor costs nothing that was already written. Partitioned frames are
+    rebalanced first, so that not every task writes a file into every partition; AQE splits the
+    large partitions again.
     """
     path = staging_path(df.sparkSession, label)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

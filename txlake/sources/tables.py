@@ -41,6 +41,8 @@ def upsert_table(source: DataFrame, table: str, keys: list[str], partition: str
     incoming = source.select(*target.columns)
     if partition:
         merged = merge_touched_partitions(target, incoming, keys, partition)
+        # Each task would write a file into every day; AQE splits large days again.
+        merged = merged.hint("rebalance", partition)
     else:
         merged = merge_upsert(target, incoming, keys)
     # The table's own types, as MERGE would cast on assignment.
