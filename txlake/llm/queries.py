@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import line_dedup, mixing, quality
+from txlake.llm import line_dedup, mixing, pieces, pii, quality, simhash
 from txlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,34 @@ FROM b""")
 def op3_quality_rules(spark, sf_dir):
     """Figures of every text, the base rules and the verdict of the whole cascade."""
     return quality.figures_and_verdict(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_sentencepiece(spark, sf_dir):
+    """Number and hash of the ids of every text, and the hash of the text they decode to."""
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    ids = table(spark, sf_dir, "documents").select("doc_id", pieces.encode(F.col("text"), model).alias("ids"))
+    return ids.select(
+        "doc_id", pieces.n_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(pieces.decode(F.col("ids"), model), 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op6_personal_data(spark, sf_dir):
+    """Counts of the base kinds, the hash of their places, and all places."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.col("base_spans")
+    return found.select(
+        "doc_id", *[pii.count_kind(base, k.name).alias(f"n_{k.name}") for k in pii.BASE],
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query()
+def op8_simhash(spark, sf_dir):
+    """Fingerprint and smallest reachable doc_id of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
