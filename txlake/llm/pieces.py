@@ -5,7 +5,7 @@ where a marker follows another character. A marked text falls into chunks there
 to the next marker); merges in one chunk do not touch another, and each distinct chunk is segmented
 once. The ids of a text are its chunks' ids in the order of their positions.
 
-A task looks at a batch of texts at a time: it lists the chunks its table does not hold yet, segments
+A task looks at a block of texts at a time: it lists the chunks its table does not hold yet, segments
 those, and joins the ids back. The table is emptied when it has grown over ``TABLE_CHUNKS`` entries, so
 memory is bounded whatever the vocabulary; that costs time only. No shuffle, nothing is sent to the
 driver; the model file goes to the tasks as bytes.
@@ -25,6 +25,7 @@ from txlake.llm.common import text_of
 
 MARK = "▁"
 TABLE_CHUNKS = 400_000
+BLOCK_CHUNKS = 100_000
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -58,20 +59,26 @@ class Codec:
             self.table[chunk] = np.array(found, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
+        out: list[bytes] = []
+        block: list[list[str]] = []
+        held = 0
         for text in texts:
-            if not text:
-                out.append(self.begin + self.end)
-                continue
-            chunks = CHUNK.findall(MARK + text.replace(" ", MARK))
-            new = list(set(chunks) - self.table.keys())
-            if new:
-                if len(self.table) + len(new) > TABLE_CHUNKS:
-                    self.table.clear()
-                    new = list(set(chunks))
-                self.segment(new)
-            out.append(b"".join([self.begin, *map(self.table.__getitem__, chunks), self.end]))
-        return out
+            block.append(CHUNK.findall(MARK + text.replace(" ", MARK)) if text else [])
+            held += len(block[-1])
+            if held >= BLOCK_CHUNKS:
+                out += self._join(block)
+                block, held = [], 0
+        return out + self._join(block)
+
+    def _join(self, block: list[list[str]]) -> list[bytes]:
+        """The ids of the texts of a block, given as lists of chunks."""
+        distinct = set().union(*block)
+        new = [c for c in distinct if c not in self.table]
+        if len(self.table) + len(new) > TABLE_CHUNKS:
+            self.table.clear()
+            new = list(distinct)
+        self.segment(new)
+        return [b"".join([self.begin, *map(self.table.__getitem__, chunks), self.end]) for chunks in block]
 
     def decode(self, ids: bytes) -> str:
         return self.model.decode(np.frombuffer(ids, dtype="<u4").tolist())

@@ -97,17 +97,22 @@ def _keys(fp: Column, variants: bool) -> Column:
     for i, (at, w) in enumerate(parts):
         at2, w2 = parts[(i + 1) % len(parts)]
         lead = F.shiftleft(F.lit(i).cast("long"), 58).bitwiseOR(F.shiftleft(_cut(fp, at, w), 26))
-        second = _cut(fp, at2, w2)
-        rows.append(F.array(F.struct(lead.bitwiseOR(second).alias("key"), F.lit(i).alias("first"), F.lit(False).alias("flipped"))))
-        if variants:
-            clear = F.filter(
-                F.array(*[F.lit(1 << k).cast("long") for k in range(w2)]), lambda bit, second=second: second.bitwiseAND(bit) == 0
-            )
-            rows.append(F.transform(clear, lambda bit, lead=lead, second=second, i=i: F.struct(
-                lead.bitwiseOR(second.bitwiseOR(bit)).alias("key"), F.lit(i).alias("first"), F.lit(True).alias("flipped"))))
+        rows.append(_chain_keys(i, lead, _cut(fp, at2, w2), w2 if variants else 0))
     return F.concat(*rows)
 
 
+def _chain_keys(i: int, lead: Column, second: Column, flips: int) -> Column:
+    def row(box: Column, flipped: bool) -> Column:
+        return F.struct(lead.bitwiseOR(box).alias("key"), F.lit(i).alias("first"), F.lit(flipped).alias("flipped"))
+
+    same = F.array(row(second, False))
+    if not flips:
+        return same
+    bits = F.array(*[F.lit(1 << k).cast("long") for k in range(flips)])
+    clear = F.filter(bits, lambda bit: second.bitwiseAND(bit) == 0)
+    return F.concat(same, F.transform(clear, lambda bit: row(second.bitwiseOR(bit), True)))
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One step of the alternating star algorithm; edges are (a, b) with a > b."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
