@@ -126,3 +126,10 @@ def decode(ids: Column, model: bytes) -> Column:
 
 def n_ids(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
+
+
+def end_id(model: bytes) -> int:
+    """The id that ``encode`` puts last, found nowhere else."""
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_proto=model).eos_id()

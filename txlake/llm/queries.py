@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import line_dedup, mixing, pieces, pii, quality, simhash
+from txlake.llm import line_dedup, mixing, pieces, pii, quality, simhash, token_counts, warc
 from txlake.llm.common import table
+from txlake.session import staging_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,3 +120,23 @@ def op8_simhash(spark, sf_dir):
     return found.select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+@query()
+def op4_warc(spark, sf_dir):
+    """Every page written to an archive and read back; digests are checked while reading."""
+    folder = staging_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query()
+def op7_token_counts(spark, sf_dir):
+    """Tokens of every document, counted between the separators of flat token files."""
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    folder = staging_path(spark, "tokens")
+    files, order = token_counts.write_token_files(table(spark, sf_dir, "documents"), folder, model)
+    counted = token_counts.count_tokens(files, folder, pieces.end_id(model))
+    return order.join(counted, ["file", "ordinal"]).select(F.col("id").alias("doc_id"), "n_tokens")
