@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import line_dedup, mixing, pieces, pii, quality, simhash, token_counts, warc
+from txlake.llm import ann, line_dedup, mixing, pieces, pii, quality, simhash, token_counts, warc
 from txlake.llm.common import table
 from txlake.session import staging_path
 
@@ -140,3 +140,9 @@ def op7_token_counts(spark, sf_dir):
     files, order = token_counts.write_token_files(table(spark, sf_dir, "documents"), folder, model)
     counted = token_counts.count_tokens(files, folder, pieces.end_id(model))
     return order.join(counted, ["file", "ordinal"]).select(F.col("id").alias("doc_id"), "n_tokens")
+
+
+@query()
+def op10_nearest(spark, sf_dir):
+    """The 20 nearest of every vector whose id 20 divides, among all others."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
