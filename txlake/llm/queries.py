@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import ann, line_dedup, mixing, pieces, pii, quality, simhash, token_counts, warc
+from txlake.llm import ann, line_dedup, main_text, mixing, pieces, pii, quality, simhash, token_counts, warc
 from txlake.llm.common import table
 from txlake.session import staging_path
 
@@ -146,3 +146,9 @@ def op7_token_counts(spark, sf_dir):
 def op10_nearest(spark, sf_dir):
     """The 20 nearest of every vector whose id 20 divides, among all others."""
     return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op9_main_text(spark, sf_dir):
+    """The main text of every page."""
+    return main_text.main_text(table(spark, sf_dir, "pages"))
