@@ -1,0 +1,42 @@
+"""Small tables with every odd case: nulls in any column, empty and long texts, repeated rows, extra columns."""
+
+import random
+
+WORDS = "the river runs to old town and sea house Straße été niño Été stone 12 a-b x.y , ; 東京".split()
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+# Names that operators use for themselves.
+CLASH = DOCS + ", n_lines string, n_dropped string, ld_id string, spans string, base_spans string, pii_text string, nth string, alone string, copy string, id string, size string"
+
+
+def sentence(rng, lo=5, hi=14):
+    return " ".join(rng.choice(WORDS) for _ in range(rng.randint(lo, hi)))
+
+
+def documents(seed=1, n=60):
+    rng = random.Random(seed)
+    shared = [sentence(rng) for _ in range(6)]
+    rows = []
+    for i in range(n):
+        lines = [rng.choice(shared) if rng.random() < 0.3 else sentence(rng) for _ in range(rng.randint(1, 12))]
+        if rng.random() < 0.2:
+            lines = ["  " + x.upper() + "\t" for x in lines]
+        rows.append((i, "\n".join(lines), "en", rng.choice(["a", "b", "B", "é", None]), 1))
+    rows += [(n + k, rows[3][1], "en", "a", 1) for k in range(5)]
+    rows += [
+        (n + 10, None, None, None, None), (n + 11, "", "en", "a", 0), (n + 12, " \t\n\x0b\r ", None, "b", 6),
+        (n + 13, "\n\n", None, "a", 2), (n + 14, "word " * 40_000, "en", "b", 1), (n + 15, "x" * 200_000, "en", "a", 1),
+        (n + 16, "one two three one two three " * 300 + "\x00 ▁   end", "en", "c", 1),
+        (None, rows[3][1], "en", "a", 1), (None, sentence(rng), None, None, None), (None, None, None, None, None),
+        (7, rows[7][1], "en", rows[7][3], 1), (7, rows[7][1], "en", rows[7][3], 1), (8, "another text of an id that is there already", "en", "a", 1),
+    ]
+    return rows
+
+
+def frame(spark, rows, schema=DOCS):
+    return spark.createDataFrame(rows, schema)
+
+
+def clashing(spark, rows):
+    extra = len(CLASH.split(", ")) - len(DOCS.split(", "))
+    return spark.createDataFrame([(*r, *["keep"] * extra) for r in rows], CLASH)

@@ -1,0 +1,67 @@
+import re
+from collections import Counter
+
+import cases
+
+from txlake.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def expected(rows):
+    out = []
+    for i, text, *_ in rows:
+        text = text or ""
+        ws = WORD.findall(text)
+        n = len(ws)
+        grams = Counter(tuple(ws[k : k + 5]) for k in range(n - 4))
+        covered = set()
+        for k in range(n - 4):
+            if grams[tuple(ws[k : k + 5])] > 1:
+                covered.update(range(k, k + 5))
+        lines = [x for x in text.split("\n") if WORD.search(x)]
+        failed = n < 10 or 100 * len(covered) > 20 * n
+        out.append((i, n, sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed))
+    return sorted(out, key=repr)
+
+
+COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def test_equals_brute_force(spark):
+    rows = cases.documents() + [(200, "a b c d e a b c d e f a b c d", None, None, None), (201, "same line here\n" * 9, None, None, None)]
+    got = quality.figures_and_verdict(cases.clashing(spark, rows))
+    assert sorted((tuple(r) for r in got.select(*COLUMNS).collect()), key=repr) == expected(rows)
+
+
+def test_verdicts(spark):
+    rng = __import__("random").Random(5)
+    clean = ". ".join(cases.sentence(rng) for _ in range(12))
+    rows = [
+        (1, clean, None, None, None), (2, "## ## " + clean.replace(" ", " $$ "), None, None, None), (3, clean.upper(), None, None, None),
+        (4, (clean + "\n") * 4, None, None, None), (5, " ".join(["abcdefghij" * 9] * 3 + [str(k) * 30 for k in range(20)]), None, None, None), (6, "", None, None, None),
+    ]
+    df = cases.frame(spark, rows)
+    kept = {r["doc_id"]: r["kept"] for r in quality.figures_and_verdict(df).collect()}
+    assert kept == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False}
+    assert [r["doc_id"] for r in quality.keep_good(df).collect()] == [1]
+
+
+def test_order_changes_nothing(spark):
+    df = cases.frame(spark, cases.documents())
+    text = quality.Figures(df["text"])
+    one = df.select(quality.passes(text, list(quality.RULES)).alias("k")).collect()
+    two = df.select(quality.passes(text, list(quality.RULES)[::-1]).alias("k")).collect()
+    assert one == two
+
+
+def test_measured_order(spark):
+    found = quality.measure(cases.frame(spark, cases.documents()))
+    assert [m.gain for m in found] == sorted((m.gain for m in found), reverse=True)
+    assert {m.rule.name for m in found} == {r.name for r in quality.RULES}
+
+
+def test_empty_table(spark):
+    df = cases.frame(spark, [])
+    assert quality.figures_and_verdict(df).count() == 0
+    assert quality.keep_good(df).columns == df.columns

@@ -1,0 +1,37 @@
+import cases
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from txlake.llm import pieces, token_counts
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.mark.parametrize("block_bytes", [2, 6, 1000, 1 << 20])
+def test_any_block_size(spark, tmp_path, block_bytes):
+    rng = np.random.default_rng(block_bytes)
+    want = {}
+    for name in ("a.bin", "b.bin"):
+        lengths = [0, 0, 1, 2, 700, 3, 0, *rng.integers(0, 40, 20).tolist()]
+        tokens = [t for n in lengths for t in [*rng.integers(3, 30000, n).tolist(), 2]]
+        np.array([*tokens, 7, 8], dtype="<u2").tofile(tmp_path / name)  # the last two are no document
+        want |= {(name, k): n for k, n in enumerate(lengths)}
+    (tmp_path / "empty.bin").write_bytes(b"")
+    files = spark.createDataFrame([(p.name, p.stat().st_size) for p in sorted(tmp_path.iterdir())], "file string, n_bytes long")
+    got = token_counts.count_tokens(files, str(tmp_path), 2, block_bytes).collect()
+    assert {(r["file"], r["ordinal"]): r["n_tokens"] for r in got} == want and len(got) == len(want)
+
+
+def test_equals_the_library(spark, tmp_path):
+    lib = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    rows = cases.documents()
+    files, order = token_counts.write_token_files(cases.clashing(spark, rows), str(tmp_path), pieces.read_model(PATH), max_file_bytes=5000)
+    got = order.join(token_counts.count_tokens(files, str(tmp_path), 2, 512), ["file", "ordinal"]).collect()
+    assert sorted(((r["id"], r["n_tokens"]) for r in got), key=repr) == sorted(((i, len(lib.encode(t or ""))) for i, t, *_ in rows), key=repr)
+
+
+def test_empty_table(spark, tmp_path):
+    files, order = token_counts.write_token_files(cases.frame(spark, []), str(tmp_path), pieces.read_model(PATH))
+    assert order.count() == 0 and token_counts.count_tokens(files, str(tmp_path), 2).count() == 0

@@ -46,11 +46,11 @@ def mod_97(account: Column) -> Column:
     """The checksum of IBANs: the first four characters to the end, letters as 10 to 35, one modulo 97."""
     moved = F.concat(F.substr(account, F.lit(5)), F.substr(account, F.lit(1), F.lit(4)))
 
-    def add(total: Column, c: Column) -> Column:
-        code = F.ascii(c)
+    def add(total: Column, i: Column) -> Column:
+        code = F.ascii(F.substr(moved, i, F.lit(1)))
         return F.when(code < 65, (total * 10 + code - 48) % 97).otherwise((total * 100 + code - 55) % 97)
 
-    return F.aggregate(F.split(moved, "(?!^)"), F.lit(0), add) == 1
+    return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add) == 1
 
 
 def _card(m: Column) -> Column:
@@ -107,7 +107,7 @@ BASE = (
 MORE = (
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", _iban, 0.8, "iban|account|konto|compte|cuenta", 0.2),
     Kind("ssn", r"(?<![0-9])(?<![0-9][ -])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![ -]?[0-9])", "[0-9]{3}-[0-9]{2}-", _any, 0.3, "ssn|social security", 0.4),
-    Kind("local_phone", r"(?<![0-9+])(?<!\+[0-9]{1,3}[\x20.-])(?<![0-9][\x20-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\x20-]?[0-9])", "[0-9]{3}[ .-][0-9]{4}", _any, 0.3, "phone|telephone|tel|call|fax|mobile", 0.3),
+    Kind("local_phone", r"(?<![0-9+])(?<!\+[0-9]{1,3}[\x20.-])(?<![0-9][\x20-])(?:\([0-9]{3}\)|(?<!\()[0-9]{3})[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\x20-]?[0-9])", "[0-9]{3}[ .-][0-9]{4}", _any, 0.3, "phone|telephone|tel|call|fax|mobile", 0.3),
 )
 
 
