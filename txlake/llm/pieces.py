@@ -110,7 +110,8 @@ def encode(text: Column, model: bytes) -> Column:
     def ids(texts: pd.Series) -> pd.Series:
         return pd.Series(Codec.of(model).encode(texts.tolist()))
 
-    return ids(text_of(text))
+    # So marked, Spark keeps the ids as a column of their own instead of encoding once per use.
+    return ids.asNondeterministic()(text_of(text))
 
 
 def decode(ids: Column, model: bytes) -> Column:
