@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from txlake.functions.scalars import during_night, during_weekend, ratio, unscaled
 from txlake.schemas import CUSTOMER_FEATURES, TERMINAL_FEATURES, WINDOWS
 
+DAY_MICROS = 86_400_000_000
+
 
 def matching(df: DataFrame, pattern: str) -> list[str]:
     """Names of the columns matching a regular expression."""
@@ -51,6 +53,75 @@ def first_features_on(
     return picked.select(entity, *[F.col(f"_f.{c}").alias(c) for c in features])
 
 
+def customer_snapshot(
+    tx: DataFrame, windows=WINDOWS, until: dt.date | None = None, first_on: dt.date | None = None,
+) -> DataFrame:
+    """Each customer's rolling features at the last row (up to the end of ``until``) or, with
+    ``first_on``, at the first row on that day.
+
+    Equal to the rolling features of that row, without features for any other: the row's time is
+    found by an aggregation, and only the rows within the longest window before it are summed.
+    With ``first_on`` no more than that window is read.
+    """
+    if first_on is not None:
+        tx = _between(tx, first_on - dt.timedelta(days=max(windows)), first_on)
+        at = F.min(F.when(F.to_date("tx_datetime") == F.lit(first_on), F.col("tx_datetime")))
+    else:
+        tx = tx if until is None else _between(tx, None, until)
+        at = F.max("tx_datetime")
+    counted = F.col("tx_amount").isNotNull()
+    sums = _around(
+        tx, "customer_id", at, windows, 0, {"cnt": counted, "cents": unscaled(F.col("tx_amount"))}
+    )
+    new = []
+    for n in windows:
+        new.append(F.col(f"cnt_{n}").alias(f"customer_id_nb_tx_{n}day_window"))
+        amount = F.col(f"cents_{n}").cast("double") / F.lit(100.0).cast("double")
+        new.append(ratio(amount, F.col(f"cnt_{n}")).alias(f"customer_id_avg_amount_{n}day_window"))
+    return sums.select("customer_id", *new)
+
+
+def terminal_snapshot(tx: DataFrame, windows=WINDOWS, delay: int = 7) -> DataFrame:
+    """Each terminal's delayed risk features at its last row; see :func:`customer_snapshot`."""
+    sums = _around(
+        tx, "terminal_id", F.max("tx_datetime"), windows, delay,
+        {"cnt": F.col("tx_fraud").isNotNull(), "bad": F.col("tx_fraud")},
+    )
+    new = []
+    for n in windows:
+        new.append(F.col(f"cnt_{n}").alias(f"terminal_id_nb_tx_{n}day_window"))
+        risk = ratio(F.col(f"bad_{n}"), F.col(f"cnt_{n}"), 0.0)
+        new.append(risk.alias(f"terminal_id_risk_{n}day_window"))
+    return sums.select("terminal_id", *new)
+
+
+def _between(tx: DataFrame, first: dt.date | None, last: dt.date) -> DataFrame:
+    """Rows of the days from ``first`` to ``last``: a range on the raw time reaches the reader."""
+    time = F.col("tx_datetime")
+    tx = tx.where(time < F.lit(last + dt.timedelta(days=1)).cast("timestamp"))
+    return tx if first is None else tx.where(time >= F.lit(first).cast("timestamp"))
+
+
+def _around(
+    tx: DataFrame, entity: str, at: Column, windows, delay: int, measures: dict[str, Column]
+) -> DataFrame:
+    """Per entity ``<measure>_<n>``: the sum over its rows in ``(at - delay - n, at - delay]``.
+
+    Times first meet in one row per entity; the sums combine before their shuffle.
+    """
+    tx = tx.where(F.col(entity).isNotNull() & F.col("tx_datetime").isNotNull())
+    times = tx.groupBy(entity).agg(at.alias("_at")).where(F.col("_at").isNotNull())
+    age = F.unix_micros("_at") - F.unix_micros("tx_datetime") - delay * DAY_MICROS
+    rows = tx.join(times, entity).withColumn("_age", age)
+    aggs = []
+    for n in windows:
+        inside = (F.col("_age") >= 0) & (F.col("_age") < n * DAY_MICROS)
+        for name, value in measures.items():
+            total = F.sum(F.when(inside, value.cast("long")))
+            aggs.append(F.coalesce(total, F.lit(0)).alias(f"{name}_{n}"))
+    return rows.groupBy(entity).agg(*aggs)
+
+
 def calendar_features(
     tx: DataFrame, as_of: dt.date, windows=WINDOWS, end_offset: int = 1,
     drive_by_1day: bool = False,

@@ -131,20 +131,14 @@ def feature_vector(spark, sf_dir):
     )
 )
 def terminal_feature_snapshot(spark, sf_dir):
-    tx = v.transactions(spark, sf_dir).select("tx_id", "terminal_id", "tx_datetime", "tx_fraud")
-    rows = terminal_risk_features(tx)
-    kept = [c for c in snapshots.matching(rows, "terminal_id.*") if c != "terminal_id"]
-    return snapshots.lower_names(snapshots.latest_features(rows, "terminal_id", kept))
+    rows = snapshots.terminal_snapshot(v.transactions(spark, sf_dir))
+    kept = snapshots.matching(rows, "terminal_id.*")
+    return snapshots.lower_names(rows.select(*kept))
 
 
 SNAPSHOT_DAY = dt.date(2024, 1, 30)
 
 
-def _customer_rows(spark, sf_dir):
-    tx = v.transactions(spark, sf_dir).select("tx_id", "customer_id", "tx_datetime", "tx_amount")
-    return customer_rolling_features(tx)
-
-
 @query(
     v.with_(
         v.TX, v.customer_features_sql(),
@@ -154,9 +148,7 @@ def _customer_rows(spark, sf_dir):
     )
 )
 def customer_feature_snapshot_first(spark, sf_dir):
-    return snapshots.first_features_on(
-        _customer_rows(spark, sf_dir), "customer_id", CUSTOMER_FEATURES, SNAPSHOT_DAY
-    )
+    return snapshots.customer_snapshot(v.transactions(spark, sf_dir), first_on=SNAPSHOT_DAY)
 
 
 @query(
@@ -168,9 +160,7 @@ def customer_feature_snapshot_first(spark, sf_dir):
     )
 )
 def customer_feature_snapshot(spark, sf_dir):
-    return snapshots.latest_features(
-        _customer_rows(spark, sf_dir), "customer_id", CUSTOMER_FEATURES, SNAPSHOT_DAY
-    )
+    return snapshots.customer_snapshot(v.transactions(spark, sf_dir), until=SNAPSHOT_DAY)
 
 
 CAL_DAY = dt.date(2024, 1, 25)
@@ -696,18 +686,23 @@ def fraud_summary(spark, sf_dir):
 FOLDS, START = 3, 8
 
 
-def _folds_sql(starts: list[int], with_delay: bool) -> str:
+def _folds_tables(starts: list[int], with_delay: bool, days: int = 7) -> list[str]:
+    """Tables ending in ``split_``: the rows of each fold; train, delay and test take ``days`` each."""
     folds = ", ".join(f"({i}, {s})" for i, s in enumerate(starts))
     delay = "" if with_delay else " AND split <> 'delay'"
-    return v.with_(
+    return [
         v.TX, f"folds AS (SELECT * FROM (VALUES {folds}) AS f(fold, b))",
-        """rows_ AS (SELECT tx.*, fold, b, CASE WHEN tx_time_days < b + 7 THEN 'train'
-             WHEN tx_time_days < b + 14 THEN 'delay' ELSE 'test' END AS split
-             FROM tx JOIN folds ON tx_time_days >= b AND tx_time_days < b + 21)""",
-        body=f"""SELECT tx_id, fold, split FROM rows_ r WHERE NOT (split = 'test' AND EXISTS (
+        f"""rows_ AS (SELECT tx.*, fold, b, CASE WHEN tx_time_days < b + {days} THEN 'train'
+             WHEN tx_time_days < b + {2 * days} THEN 'delay' ELSE 'test' END AS split
+             FROM tx JOIN folds ON tx_time_days >= b AND tx_time_days < b + {3 * days})""",
+        f"""split_ AS (SELECT * FROM rows_ r WHERE NOT (split = 'test' AND EXISTS (
                  SELECT 1 FROM tx k WHERE k.customer_id = r.customer_id AND k.tx_fraud = 1
-                   AND k.tx_time_days >= r.b AND k.tx_time_days <= r.tx_time_days - 8)){delay}""",
-    )
+                   AND k.tx_time_days >= r.b AND k.tx_time_days <= r.tx_time_days - {days + 1})){delay})""",
+    ]
+
+
+def _folds_sql(starts: list[int], with_delay: bool, days: int = 7) -> str:
+    return v.with_(*_folds_tables(starts, with_delay, days), body="SELECT tx_id, fold, split FROM split_")
 
 
 @query(_folds_sql([START], True).replace("SELECT tx_id, fold, split", "SELECT tx_id, split"))
@@ -715,9 +710,10 @@ def split_train_delay_test(spark, sf_dir):
     return splits.split_train_delay_test(v.transactions(spark, sf_dir), START).select("tx_id", "split")
 
 
-@query(_folds_sql([9, 2, -5], False))
+@query(_folds_sql([15, 10, 5], False, 5))
 def prequential_folds(spark, sf_dir):
-    return splits.prequential_folds(v.transactions(spark, sf_dir), 9, FOLDS).select(
+    """Three whole folds of 15 days."""
+    return splits.prequential_folds(v.transactions(spark, sf_dir), 15, FOLDS, 5, 5, 5).select(
         "tx_id", "fold", "split"
     )
 
@@ -893,7 +889,7 @@ def scale_features(spark, sf_dir):
     return out.select("tx_id", *[(F.round(c, 6) + zero).alias(c) for c in SCALED])
 
 
-# --- models (row counts only: learners of two engines never agree bit by bit) -----------------
+# --- models (learners of two engines never agree bit by bit: facts about them, or a fixed rule) --
 
 
 def _split_features(spark, sf_dir, start=START):
@@ -904,12 +900,39 @@ def _split_features(spark, sf_dir, start=START):
     return staged.where("split = 'train'"), staged.where("split = 'test'")
 
 
-@query()
+LEARNERS = ", ".join(f"('{name}')" for name in models.NAMES)
+
+
+@query(
+    v.with_(
+        *_folds_tables([START], False),
+        f"learners AS (SELECT * FROM (VALUES {LEARNERS}) AS l(model))",
+        body=f"""SELECT model, count(*) FILTER (WHERE split = 'train') AS train_rows,
+                 CAST(sum(tx_fraud) FILTER (WHERE split = 'train') AS BIGINT) AS train_frauds,
+                 count(*) FILTER (WHERE split = 'test') AS scored_rows,
+                 CAST(sum(tx_fraud) FILTER (WHERE split = 'test') AS BIGINT) AS scored_frauds,
+                 {len(FEATURES)} AS features, TRUE AS in_range, TRUE AS timed, TRUE AS better_than_chance
+                 FROM split_, learners GROUP BY model""",
+    )
+)
 def train_and_score(spark, sf_dir):
-    """Five learners on the same split: test performance and fit time of each."""
+    """Five learners on the same split: what each was trained on and scored, and that its scores are
+    probabilities, better than chance on the held-out rows."""
     train, test = _split_features(spark, sf_dir)
     _, scored, times = models.fit_and_score(models.classifiers(), train, test)
-    return metrics.performance_report(scored, ["model"], [TOP]).join(times, "model")
+    seen = train.agg(F.count(F.lit(1)).alias("train_rows"), F.sum(F.col("tx_fraud").cast("long")).alias("train_frauds"))
+    counted = scored.groupBy("model").agg(
+        F.count(F.lit(1)).alias("scored_rows"), F.sum(F.col("tx_fraud").cast("long")).alias("scored_frauds"),
+        F.every(F.col("score").between(0, 1)).alias("in_range"),
+    )
+    ranked = metrics.ranking_metrics(scored, ["model"]).select("model", (F.col("auc_roc") > 0.5).alias("better_than_chance"))
+    timed = (F.col("training_execution_time") > 0) & (F.col("prediction_execution_time") > 0)
+    # One row each: the training counts meet every learner.
+    return (
+        counted.join(ranked, "model").join(times.select("model", timed.alias("timed")), "model")
+        .join(F.broadcast(seen), F.lit(True))
+        .withColumn("features", F.lit(len(FEATURES)))
+    )
 
 
 # A fixed linear rule, standing for a model trained elsewhere.
@@ -970,20 +993,29 @@ def stream_score_foreign_model(spark, sf_dir):
     return out.select("tx_id", "features_missing", F.round("prediction", 6).alias("prediction"))
 
 
-@query()
+@query(
+    f"SELECT tx_id, features_missing, TRUE AS in_range, TRUE AS processed, TRUE AS as_in_batch FROM ({ENRICH_SQL})"
+)
 def stream_score(spark, sf_dir):
-    """Train on past days, store the model, load it and score the transactions as a stream."""
+    """Train on past days, store the model, load it and score the transactions as a stream; the same
+    model in a batch gives the same scores."""
     base = staging_path(spark, "score")
     train, _ = _split_features(spark, sf_dir)
     logistic = models.classifiers()["logistic_regression"]
-    models.save(models.fit(logistic, train), f"{base}/model")
+    fitted = models.fit(logistic, train)
+    models.save(fitted, f"{base}/model")
     tx, cust, term = _serving_features(spark, sf_dir)
     cust, term = stage(cust, "feature-customer"), stage(term, "feature-terminal")
     scoring.start_scoring(
         _transaction_stream(spark, tx, base), lambda: (cust, term), models.load(f"{base}/model"),
         f"{base}/out", f"{base}/offsets", interval=None,
     ).awaitTermination()
-    return _plain(spark.read.parquet(f"{base}/out").drop("epoch"))
+    batch = scoring.scored(tx, cust, term, fitted).select("tx_id", F.col("prediction").alias("batch_prediction"))
+    same = F.abs(F.col("prediction") - F.col("batch_prediction")) < 1e-12
+    return spark.read.parquet(f"{base}/out").join(batch, "tx_id", "left").select(
+        "tx_id", "features_missing", F.col("prediction").between(0, 1).alias("in_range"),
+        F.col("processed_at").isNotNull().alias("processed"), same.alias("as_in_batch"),
+    )
 
 
 def _model_rows(spark, sf_dir):
@@ -992,23 +1024,94 @@ def _model_rows(spark, sf_dir):
     )
 
 
-@query()
+# A fixed rule with one parameter stands for a learner, so that two engines agree on its scores.
+LIMITS = (150.0, 300.0)
+
+
+def _amount_rule(train, params):
+    limit = F.lit(params.get("limit", LIMITS[1]))
+    share = F.least(F.lit(1.0), F.col("tx_amount").cast("double") / limit)
+    return lambda rows: rows.withColumn("score", F.round(share, 2))
+
+
+def _rule_sql(limit: str) -> str:
+    return f"round(least(CAST(1 AS DOUBLE), CAST(tx_amount AS DOUBLE) / CAST({limit} AS DOUBLE)), 2)"
+
+
+EVAL_DAYS, EVAL_STARTS = 5, {"validation": 10, "test": 15}
+EVAL_METRICS = ["auc_roc", "average_precision", f"card_precision_at_{TOP}"]
+
+
+def _eval_sql() -> str:
+    starts = [b - EVAL_DAYS * f for b in EVAL_STARTS.values() for f in range(2)]
+    kinds = ", ".join(f"({2 * i + f}, '{kind}')" for i, kind in enumerate(EVAL_STARTS) for f in range(2))
+    limits = ", ".join(f"({limit})" for limit in LIMITS)
+    picks = []
+    for m in EVAL_METRICS:
+        def best(kind: str, m: str = m) -> str:
+            return f"(SELECT * FROM wide ORDER BY round({m}_{kind}, 9) DESC, parameters LIMIT 1)"
+
+        picks.append(
+            f"""SELECT '{m}' AS metric, e.parameters AS best_estimated_parameters,
+                round(e.{m}_validation, 6) AS validation_performance, round(e.{m}_validation_std, 6) AS validation_std,
+                round(e.{m}_test, 6) AS test_performance, round(e.{m}_test_std, 6) AS test_std,
+                o.parameters AS optimal_parameters, round(o.{m}_test, 6) AS optimal_test_performance,
+                round(o.{m}_test_std, 6) AS optimal_test_std
+                FROM {best("validation")} e, {best("test")} o"""
+        )
+    wide = ", ".join(
+        f"avg({m}) FILTER (WHERE kind = '{k}') AS {m}_{k}, stddev_pop({m}) FILTER (WHERE kind = '{k}') AS {m}_{k}_std"
+        for m in EVAL_METRICS for k in EVAL_STARTS
+    )
+    return v.with_(
+        *_folds_tables(starts, False, EVAL_DAYS),
+        f"""model_scores AS (SELECT fold || '|limit=' || p.l AS model, tx_id, tx_time_days, customer_id, tx_fraud,
+             {_rule_sql("p.l")} AS score FROM split_, (VALUES {limits}) AS p(l) WHERE split = 'test')""",
+        CARDS, WALK, RANKING.replace("round(sum(", "(sum(").replace(", 6) AS", ") AS"),
+        f"""each AS (SELECT model, auc_roc, average_precision,
+             (SELECT avg(card_precision) FROM per_day WHERE per_day.model = ranking.model) AS card_precision_at_{TOP}
+             FROM ranking)""",
+        f"kinds AS (SELECT * FROM (VALUES {kinds}) AS k(fold, kind))",
+        f"""wide AS (SELECT split_part(model, '|', 2) AS parameters, {wide}
+             FROM each JOIN kinds ON split_part(model, '|', 1) = CAST(kinds.fold AS VARCHAR) GROUP BY 1)""",
+        body=" UNION ALL ".join(picks),
+        recursive=True,
+    )
+
+
+@query(_eval_sql())
 def prequential_eval(spark, sf_dir):
     """Two parameter values over two folds, for validation and for test; best by each metric."""
-    rows = stage(_model_rows(spark, sf_dir), "features")
+    tx = v.transactions(spark, sf_dir)
     results = models.model_selection(
-        rows, models.classifiers()["decision_tree_depth_2"], {"maxDepth": [2, 4]},
-        start_day_valid=4, start_day_test=9, n_folds=2, delta_train=5, delta_delay=5,
-        delta_assessment=5, ks=(TOP,),
+        tx, _amount_rule, {"limit": list(LIMITS)}, start_day_valid=EVAL_STARTS["validation"],
+        start_day_test=EVAL_STARTS["test"], n_folds=2, delta_train=EVAL_DAYS, delta_delay=EVAL_DAYS,
+        delta_assessment=EVAL_DAYS, ks=(TOP,), features=["tx_amount"],
+    )
+    best = models.best_parameters(stage(results, "selection"), EVAL_METRICS)
+    return best.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in best.dtypes])
+
+
+def _cross_sql() -> str:
+    names = ["auc_roc", "average_precision", "balanced_accuracy"]
+    return v.with_(
+        v.TX,
+        f"""model_scores AS (SELECT (row_number() OVER (PARTITION BY tx_fraud ORDER BY
+             substr(md5(tx_id || '|0'), 1, 8), tx_id) - 1) % 3 AS model, tx_fraud, {_rule_sql(str(LIMITS[1]))} AS score FROM tx)""",
+        RANKING.replace("round(sum(", "(sum(").replace(", 6) AS", ") AS"),
+        """balanced AS (SELECT model, (avg(CASE WHEN tx_fraud = 1 THEN CAST(score >= CAST(0.5 AS DOUBLE) AS INT) END)
+             + avg(CASE WHEN tx_fraud = 0 THEN 1 - CAST(score >= CAST(0.5 AS DOUBLE) AS INT) END)) / 2 AS balanced_accuracy
+             FROM model_scores GROUP BY model)""",
+        body="SELECT " + ", ".join(f"round(avg({n}), 6) AS {n}, round(stddev_samp({n}), 6) AS {n}_std" for n in names)
+        + " FROM ranking JOIN balanced USING (model)",
     )
-    names = ["auc_roc", "average_precision", f"card_precision_at_{TOP}"]
-    return models.best_parameters(stage(results, "selection"), names)
 
 
-@query()
+@query(_cross_sql())
 def cross_validation(spark, sf_dir):
-    rows = stage(_model_rows(spark, sf_dir), "features")
-    return models.cross_validate(rows, models.classifiers()["decision_tree_depth_2"], k=3)
+    """Three stratified folds."""
+    out = models.cross_validate(v.transactions(spark, sf_dir), _amount_rule, k=3, features=["tx_amount"])
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns if not c.endswith("_time")])
 
 
 for _name in [n for n in QUERIES if n.endswith("_q")]:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -41,7 +41,7 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    A folder of our own is chosen only where the setting is missing and the master is local.
+    Only where the setting is missing and the master is local, a folder beside the warehouse serves.
     """
     sc = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_DIR, None) or sc.getConf().get(CHECKPOINT_DIR)
@@ -52,7 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="txlake-"))
+        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/txlake-checkpoints")
     return sc.getCheckpointDir()
 
 
@@ -84,3 +84,24 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is any file at ``path`` that Spark's readers see."""
+    try:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        return bool(found.select("path").take(1))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def refuse_new_checkpoint(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Raise if a stream would begin anew (no checkpoint yet) on an output that holds data.
+
+    Batch numbers restart with a new checkpoint, so earlier batches would be replaced or taken for
+    already written.
+    """
+    if not holds_files(spark, f"{checkpoint.rstrip('/')}/metadata") and holds_files(spark, path):
+        raise RuntimeError(f"{path} holds data of another checkpoint than {checkpoint}; use that one or a new folder")

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from txlake.operators.merge import merge_touched_partitions, merge_upsert, with_audit
 from txlake.schemas import TABLES
-from txlake.session import materialize
+from txlake.session import stage
+
+
+OVERWRITE = "partitionOverwriteMode"
 
 
 def ensure_table(
@@ -16,16 +19,28 @@ def ensure_table(
 ) -> str:
     """Create the database (at ``location``) and the table if they are not there.
 
-    An existing table is never dropped.
+    An existing table is never dropped. A partitioned table carries its overwrite mode with it:
+    ``insertInto`` follows the table, whatever the session says.
     """
     columns, partition = TABLES[name]
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
-    layout = f" PARTITIONED BY ({partition})" if partition else ""
+    layout = f" OPTIONS ('{OVERWRITE}'='dynamic') PARTITIONED BY ({partition})" if partition else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING {using}{layout}")
     return f"{database}.{name}"
 
 
+def overwrites_by_partition(spark: SparkSession, table: str) -> bool:
+    """Whether an overwriting insert leaves the partitions alone that it has no rows for."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Storage Properties'")
+    mode = f"{OVERWRITE}=dynamic"
+    own = [row["data_type"] for row in described.collect()]
+    if any(mode.lower() in (x or "").lower() for x in own):
+        return True
+    session = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    return session.lower() == "dynamic" and not any(OVERWRITE.lower() in (x or "").lower() for x in own)
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
@@ -33,10 +48,18 @@ def drop_table(spark: SparkSession, table: str) -> None:
 def upsert_table(source: DataFrame, table: str, keys: list[str], partition: str | None = None) -> None:
     """Upsert into a table of a format without row-level commands.
 
-    The merged rows are fixed in the shared folder first, since the table is read and replaced in
-    one step. With ``partition`` only the partitions the source touches are read and rewritten.
+    The merged rows are written to the shared folder first, since the table is read and replaced in
+    one step; they stay there until the application's folder is deleted, so a load that is cut off
+    in the middle of the replacement can be finished from them. With ``partition`` only the
+    partitions the source touches are read and rewritten, and a table that would lose the others
+    is refused.
     """
     spark = source.sparkSession
+    if partition and not overwrites_by_partition(spark, table):
+        raise ValueError(
+            f"{table} drops untouched partitions on overwrite: "
+            f"ALTER TABLE {table} SET SERDEPROPERTIES ('{OVERWRITE}'='dynamic')"
+        )
     target = spark.table(table)
     incoming = source.select(*target.columns)
     if partition:
@@ -46,11 +69,13 @@ def upsert_table(source: DataFrame, table: str, keys: list[str], partition: str
     else:
         merged = merge_upsert(target, incoming, keys)
     # The table's own types, as MERGE would cast on assignment.
-    fixed = materialize(
-        merged.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
+    fixed = stage(
+        merged.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]),
+        f"upsert-{table.replace('.', '-')}",
     )
-    writer = fixed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table, overwrite=True)
+    if partition:
+        fixed = fixed.hint("rebalance", partition)
+    fixed.write.insertInto(table, overwrite=True)
 
 
 # The key each table is loaded by; dated tables are merged partition by partition.

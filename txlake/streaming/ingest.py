@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from txlake.operators.cdc import META, TableSpec, latest_image, parse_changes
 from txlake.operators.merge import merge_upsert, with_audit
 from txlake.operators.skew import broadcast_if_small
-from txlake.session import materialize
+from txlake.session import materialize, refuse_new_checkpoint
 
 INTERVAL = "5 seconds"
 
@@ -31,8 +31,10 @@ def start_ingest(
 
     A batch writes its own ``epoch`` folder and replaces it if it is run again after a failure, so
     every change counts once. Images keep their log position: :func:`table_state` compares them
-    across batches, and a late batch with older changes cannot overwrite newer ones.
+    across batches, and a late batch with older changes cannot overwrite newer ones. A change table
+    that another checkpoint has filled is refused, since epochs begin at 0 with each checkpoint.
     """
+    refuse_new_checkpoint(log.sparkSession, changes_path, checkpoint)
 
     def land(batch: DataFrame, epoch: int) -> None:
         latest = latest_image(batch, spec.keys, keep_deletes=True)

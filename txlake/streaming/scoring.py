@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from txlake.operators.models import score
 from txlake.operators.skew import broadcast_if_small
 from txlake.operators.snapshots import enrich
+from txlake.session import refuse_new_checkpoint
 
 INTERVAL = "10 seconds"
 
@@ -43,7 +44,11 @@ def scored(
 def start_append(
     rows: DataFrame, path: str, checkpoint: str, interval: str | None = INTERVAL
 ) -> StreamingQuery:
-    """Append a stream to a Parquet folder, each row exactly once. Nothing is dropped on start."""
+    """Append a stream to a Parquet folder, each row exactly once. Nothing is dropped on start.
+
+    A folder that another checkpoint has filled is refused.
+    """
+    refuse_new_checkpoint(rows.sparkSession, path, checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
         rows.writeStream.format("parquet")
@@ -69,8 +74,10 @@ def start_scoring(
     ``read_features`` returns the customer and terminal features and is called per batch, so new
     snapshots are used without a restart. The feature tables, large next to a batch, are reduced
     to its entities before the joins and never shuffled for it. A batch writes its own ``epoch``
-    folder and replaces it if it is run again, so each row is kept once.
+    folder and replaces it if it is run again, so each row is kept once. A folder that another
+    checkpoint has filled is refused, since epochs begin at 0 with each checkpoint.
     """
+    refuse_new_checkpoint(tx.sparkSession, path, checkpoint)
 
     def each(batch: DataFrame, epoch: int) -> None:
         batch.persist()
