@@ -20,6 +20,9 @@ def spark():
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": "/tmp/txlake-warehouse",
+            "spark.checkpoint.dir": "/tmp/txlake-warehouse/shared",
+            # As in a plain session: nothing may depend on the mode get_session sets.
+            "spark.sql.sources.partitionOverwriteMode": "static",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -18,7 +18,7 @@ def frame(spark, rows, at):
 def merged(spark, request):
     def run(old, new):
         out = merge.merge_upsert(
-            frame(spark, old, T1), frame(spark, new, T2), ["id"], broadcast_rows=request.param
+            frame(spark, old, T1), frame(spark, new, T2), ["id"], small_rows=request.param
         )
         return sorted(tuple(r) for r in out.collect())
 
@@ -52,13 +52,13 @@ def test_bad_source_fails_even_if_no_value_is_read(spark):
     old, new = frame(spark, [(1, "a")], T1), frame(spark, [(1, "a"), (1, "b")], T2)
     for rows in (0, 100):
         with pytest.raises(Exception, match="more than one row"):
-            merge.merge_upsert(old, new, ["id"], broadcast_rows=rows).select("id").collect()
+            merge.merge_upsert(old, new, ["id"], small_rows=rows).select("id").collect()
 
 
 @pytest.mark.parametrize("rows", [0, 100])
 def test_target_null_keys_pass(spark, rows):
     old, new = frame(spark, [(None, "x"), (1, "a")], T1), frame(spark, [(1, "b")], T2)
-    out = merge.merge_upsert(old, new, ["id"], broadcast_rows=rows)
+    out = merge.merge_upsert(old, new, ["id"], small_rows=rows)
     assert {(r.id, r.v) for r in out.collect()} == {(None, "x"), (1, "b")}
 
 
@@ -78,7 +78,7 @@ def test_moved_date_is_inserted_again(spark, rows_):
     day = F.to_date(F.col("v"))
     old = frame(spark, [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-09")], T1).withColumn("dt", day)
     new = frame(spark, [(1, "2024-01-02"), (2, "2024-01-02")], T2).withColumn("dt", day)
-    rows = merge.merge_touched_partitions(old, new, ["id"], broadcast_rows=rows_).collect()
+    rows = merge.merge_touched_partitions(old, new, ["id"], small_rows=rows_).collect()
     # Only 2 January is touched: 1 is new there, 2 is updated; 1 January and 9 January stay as they are.
     assert sorted((r.id, r.v, r.row_created_timestamp, r.row_updated_timestamp) for r in rows) == [
         (1, "2024-01-02", T2, T2), (2, "2024-01-02", T1, T2)

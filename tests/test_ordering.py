@@ -37,9 +37,16 @@ def test_sequential_ids(df, many_slices):
     assert got == {r[0]: i + 10 for i, r in enumerate(want)}
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_rank_in_group(df, many_slices, monkeypatch, limit):
-    monkeypatch.setattr(ordering, "broadcast_if_small", lambda x: skew.broadcast_if_small(x, limit))
+@pytest.fixture(params=["-1", "10MB"])
+def threshold(spark, request):
+    """Without and with broadcasts."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rank_in_group(df, many_slices, threshold):
     got = {r.id: r.n for r in ordering.rank_in_group(df, ["g"], [F.col("o").desc(), "id"], "n").collect()}
     want = {}
     for g in "ab":
@@ -48,9 +55,7 @@ def test_rank_in_group(df, many_slices, monkeypatch, limit):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_running_totals(df, many_slices, monkeypatch, limit):
-    monkeypatch.setattr(ordering, "broadcast_if_small", lambda x: skew.broadcast_if_small(x, limit))
+def test_running_totals(df, many_slices, threshold):
     out = ordering.running_totals(df, ["g"], ["o", "id"], {"v": F.col("v"), "n": F.lit(1)})
     want, sums = {}, {}
     for i, g, _, v in sorted(data(), key=lambda r: (r[2], r[0])):
@@ -80,10 +85,8 @@ def test_hot_keys(spark, df):
     assert skew.hot_keys(df.where("false"), "g", min_rows=0) is None
 
 
-def test_broadcast_if_small(spark):
-    small = skew.broadcast_if_small(spark.range(5), 5)
-    assert small.count() == 5
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    large = skew.broadcast_if_small(spark.range(6), 5)
-    assert large.count() == 6
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+def test_broadcast_if_small(spark, capsys):
+    side = skew.broadcast_if_small(spark.range(5))
+    assert sorted(r.id for r in side.collect()) == [0, 1, 2, 3, 4]
+    spark.range(10**9).join(side, "id").explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out

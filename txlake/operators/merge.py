@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.operators.skew import BROADCAST_ROWS, small_copy
+from txlake.session import stage
 
 CREATED, UPDATED = "row_created_timestamp", "row_updated_timestamp"
 MAX_PARTITIONS = 10_000
+# A source of so many rows at most is met from the target's side.
+SMALL_ROWS = 100_000
 
 
 def with_audit(df: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -41,15 +43,17 @@ def _checked(source: DataFrame, keys: list[str]) -> DataFrame:
 
 def merge_upsert(
     target: DataFrame, source: DataFrame, keys: list[str] | tuple[str, ...],
-    keep: tuple[str, ...] = (CREATED,), broadcast_rows: int = BROADCAST_ROWS,
+    keep: tuple[str, ...] = (CREATED,), small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Target after the upsert: matched rows take the source's columns but ``keep``.
 
     Columns the source lacks stay as they are (NULL on insert). Rows of the target with a NULL key
     match nothing and pass through.
 
-    A source of at most ``broadcast_rows`` rows, the usual micro-batch, is broadcast and the target
-    is never shuffled; a larger one meets it in a full outer join.
+    The checked source is written to the shared folder once. One of at most ``small_rows`` rows, the
+    usual micro-batch, is joined to the target's rows, without a shuffle of the target while Spark
+    finds the source's files under its broadcast threshold; a larger one meets it in a full outer
+    join.
     """
     keys = list(keys)
     incoming = _checked(source, keys).select(
@@ -71,21 +75,21 @@ def merge_upsert(
         else:
             new = F.when(F.col("_in").isNotNull(), F.col(f"_row.{name}")).otherwise(old)
         out.append(new.alias(name))
-    small = small_copy(incoming, broadcast_rows)
-    if small is None:
+    incoming = stage(incoming, "merge-source")
+    if incoming.count() > small_rows:
         return there.join(incoming, cond, "full_outer").select(*out)
     # The target's matched keys are no more than the source's; they tell which rows to insert.
-    taken = target.select(*keys).join(small, cond, "left_semi").distinct()
-    fresh = small.join(taken, cond, "left_anti")
+    taken = target.select(*keys).join(incoming, cond, "left_semi").distinct()
+    fresh = incoming.join(taken, cond, "left_anti")
     inserts = fresh.select(
         "*", *[F.lit(None).cast(kind).alias(name) for name, kind in there.dtypes]
     )
-    return there.join(small, cond, "left").select(*out).unionByName(inserts.select(*out))
+    return there.join(incoming, cond, "left").select(*out).unionByName(inserts.select(*out))
 
 
 def merge_touched_partitions(
     target: DataFrame, source: DataFrame, keys: list[str] | tuple[str, ...], partition: str = "dt",
-    broadcast_rows: int = BROADCAST_ROWS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Merged rows of only those partitions the source touches.
 
@@ -101,7 +105,7 @@ def merge_touched_partitions(
         touched = target.join(source.select(partition).distinct(), partition, "left_semi")
     touched = touched.select(*target.columns)
     every = [partition, *[k for k in keys if k != partition]]
-    return merge_upsert(touched, source, every, broadcast_rows=broadcast_rows)
+    return merge_upsert(touched, source, every, small_rows=small_rows)
 
 
 def merge_into_table(

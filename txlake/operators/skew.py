@@ -1,14 +1,14 @@
-"""Finding hot keys and broadcasting only what is known to be small."""
+"""Finding hot keys and leaving broadcasts to sizes that are known."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txlake.session import stage
+
 MIN_HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 << 20
 
 
 def hot_keys(
@@ -30,19 +30,11 @@ def hot_keys(
     return F.broadcast(df.sparkSession.createDataFrame(found.toArrow(), found.schema))
 
 
-def small_copy(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """A local copy of ``df`` marked for broadcast, or None if it is not small.
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder.
 
-    Small means at most ``max_rows`` rows and ``BROADCAST_BYTES`` bytes. At most ``max_rows + 1``
-    rows reach the driver, as Arrow batches.
+    Its size is then known before any plan is made, and Spark broadcasts it where its files are
+    smaller than ``spark.sql.autoBroadcastJoinThreshold``; beyond it there is a shuffle join. Nothing
+    reaches the driver to find out, and ``df`` is never computed twice.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows or table.nbytes > BROADCAST_BYTES:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The broadcast copy of a small ``df``; beyond the bound ``df`` itself, for a shuffle join."""
-    copy = small_copy(df, max_rows)
-    return df if copy is None else copy
+    return stage(df, "side")

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from txlake.operators.models import score
-from txlake.operators.skew import broadcast_if_small
 from txlake.operators.snapshots import enrich
 from txlake.session import refuse_new_checkpoint
 
@@ -60,9 +59,9 @@ def start_append(
 
 
 def _of_batch(features: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """The feature rows of the entities in a batch: a filtered scan while they are few."""
-    ids = broadcast_if_small(batch.select(key).distinct())
-    return features.join(ids, key, "left_semi")
+    """The feature rows of the entities in a batch. The batch is cached, so Spark knows its size and
+    broadcasts the ids while they are few: then this is a filtered scan."""
+    return features.join(batch.select(key).distinct(), key, "left_semi")
 
 
 def start_scoring(
@@ -82,6 +81,8 @@ def start_scoring(
     def each(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
+            if not batch.count():
+                return
             customers, terminals = read_features()
             rows = scored(
                 batch,
