@@ -55,6 +55,17 @@ def test_rejected(spark):
     assert sorted(r.offset for r in rows) == [6, 7, 8]
 
 
+def test_amounts_that_do_not_fit_are_rejected(spark):
+    wide = base64.b64encode((10**12).to_bytes(12, "big")).decode()
+    values = [
+        event("c", 1, 1), event("u", 1, 2, 10**11), event("u", 1, 3, after=image(1, tx_amount=wide)),
+        event("c", 2, 4, after=image(2, tx_amount=None)), event("d", 3, 5, before=image(3, tx_amount=wide), after=None),
+    ]
+    rows = cdc.parse_changes(log(spark, values), cdc.TRANSACTIONS).collect()
+    assert sorted((r.tx_id, r._op, str(r.tx_amount)) for r in rows) == [(1, "c", "1.00"), (2, "c", "None"), (3, "d", "None")]
+    assert sorted(r.offset for r in cdc.rejected_events(log(spark, values), cdc.TRANSACTIONS).collect()) == [1, 2]
+
+
 def test_state(spark):
     rows = cdc.current_state(log(spark, CASES), cdc.TRANSACTIONS).collect()
     assert sorted((r.tx_id, str(r.tx_amount)) for r in rows) == [(1, "1.00"), (2, "2.50")]

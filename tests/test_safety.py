@@ -154,3 +154,62 @@ def test_cross_validation_reports_times(spark, sf_dir):
     rule = lambda train, params: lambda rows: rows.withColumn("score", F.lit(0.5))
     r = models.cross_validate(views.transactions(spark, sf_dir), rule, k=2, features=["tx_amount"]).first()
     assert r.fit_time >= 0 and r.score_time > 0 and r.auc_roc == pytest.approx(0.5)
+
+
+def test_the_walk_sees_frauds_and_suspects_only(spark):
+    """Many days with many cards and few frauds: the rows in question follow the compromised cards."""
+    import random
+
+    from txlake.operators import metrics
+
+    rng = random.Random(6)
+    bad = {c: rng.randrange(20) for c in range(8)}
+    data = [
+        (d, c, round(rng.random(), 2), int(c in bad and d >= bad[c] and (d - bad[c]) % 5 == 0))
+        for d in range(30) for c in range(200)
+    ]
+    cards = spark.createDataFrame(data, "tx_time_days int, customer_id int, score double, label int")
+    assert metrics.rows_in_question(cards, [], 20).count() <= 30 * len(bad)
+    gone, want = set(), set()
+    for d in range(30):
+        pool = sorted(((-s, c, y) for e, c, s, y in data if e == d and c not in gone))[:20]
+        found = {c for _, c, y in pool if y}
+        want |= {(d, c) for c in found}
+        gone |= found
+    got = metrics.detected_cards(cards.withColumn("m", F.lit(1)), ["m"], 20)
+    assert {(r.tx_time_days, r.customer_id) for r in got.collect()} == want and want
+
+
+def test_pairs_within_radius(spark):
+    import random
+
+    from txlake.operators import radius
+
+    rng = random.Random(2)
+    place = lambda: (rng.choice([None, -0.0, 0.0, 1.0, round(rng.uniform(-3, 3), 1)]), round(rng.uniform(-3, 3), 1))
+    cust, term = [(i, *place()) for i in range(80)], [(i, *place()) for i in range(60)]
+    got = radius.pairs_within_radius(
+        spark.createDataFrame(cust, "customer_id long, x_location double, y_location double"),
+        spark.createDataFrame(term, "terminal_id long, x_location double, y_location double"), 1.0,
+    ).collect()
+    want = {
+        (a, b) for a, x, y in cust for b, u, w in term
+        if x is not None and u is not None and ((x - u) ** 2 + (y - w) ** 2) ** 0.5 < 1.0
+    }
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_calendar_features_of_many_dates(spark, sf_dir):
+    tx = views.transactions(spark, sf_dir)
+    days = [(dt.date(2024, 1, 9), 1), (dt.date(2024, 1, 20), 0), (dt.date(2024, 2, 9), 1)]
+    got = sorted(snapshots.calendar_features_on(tx, days).collect())
+    want = [r for day, end in days for r in snapshots.calendar_features(tx, day, end_offset=end).collect()]
+    assert got == sorted(want)
+
+
+def test_folds_push_the_days_to_the_reader(spark, sf_dir, capsys):
+    from txlake.operators import splits
+
+    splits.prequential_folds(views.transactions(spark, sf_dir), 15, 3, 5, 5, 5, origin=views.ORIGIN).explain("formatted")
+    pushed = [x for x in capsys.readouterr().out.split("\n") if "PushedFilters" in x]
+    assert pushed and all("GreaterThanOrEqual(ts" in x and "LessThan(ts" in x for x in pushed)

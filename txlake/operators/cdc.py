@@ -61,14 +61,24 @@ def _has_key(spec: TableSpec) -> Column:
     return known
 
 
+def _usable(spec: TableSpec) -> Column:
+    """Key and operation are there, and every value the image holds can be decoded; of a delete only
+    the key counts."""
+    readable = F.lit(True)
+    for name, decode in spec.decode.items():
+        value = F.col(f"_image.{name}")
+        readable = readable & (value.isNull() | decode(value).isNotNull())
+    return F.coalesce(_has_key(spec), F.lit(False)) & ((F.col("_event.op") == "d") | readable)
+
+
 def parse_changes(log: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed rows with ``_op`` and the order columns; works on batch and streaming logs.
 
-    Deletes carry the image before the change. Events without a usable key or operation are left
-    to :func:`rejected_events`.
+    Deletes carry the image before the change. Events without a usable key or operation, or with a
+    value that does not fit its column, are left to :func:`rejected_events`.
     """
     same: Callable[[Column], Column] = lambda c: c
-    return _parsed(log, spec).where(F.coalesce(_has_key(spec), F.lit(False))).select(
+    return _parsed(log, spec).where(_usable(spec)).select(
         *[
             spec.decode.get(name, same)(F.col(f"_image.{name}")).alias(name)
             for name in spec.columns
@@ -82,8 +92,9 @@ def parse_changes(log: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def rejected_events(log: DataFrame, spec: TableSpec) -> DataFrame:
-    """Events that cannot be applied: malformed JSON, unknown operation, no image or no key."""
-    return _parsed(log, spec).where(~F.coalesce(_has_key(spec), F.lit(False))).select(
+    """Events that cannot be applied: malformed JSON, unknown operation, no image or no key, or a
+    value such as an amount too large for its column."""
+    return _parsed(log, spec).where(~_usable(spec)).select(
         "key", "value", "partition", "offset"
     )
 

@@ -6,39 +6,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def within_radius(customers: DataFrame, terminals: DataFrame, r: float) -> DataFrame:
-    """Customers with ``available_terminals`` (sorted ids closer than ``r``) and ``nb_terminals``.
+def pairs_within_radius(customers: DataFrame, terminals: DataFrame, r: float) -> DataFrame:
+    """(customer_id, terminal_id) of all pairs closer than ``r``.
 
-    Points are hashed to square cells of side ``r``; a terminal is sent to its own and the eight
-    surrounding cells, so the join is on the cell and only then on the distance. Customers at one
-    place share one answer and terminals at one place travel as one list: a place held by a third
-    of all rows is one row in the join. Customers without a terminal in reach keep an empty list.
+    Distinct places are paired first, without their ids: points are hashed to square cells of side
+    ``r``, and a terminal place is sent to its own and the eight surrounding cells, so the join is
+    on the cell and only then on the distance; AQE splits the partition of a dense cell. Ids come
+    last, so no row carries a list, however many ids a place has.
     """
-    cell = lambda v: F.floor(F.col(v) / F.lit(float(r)))
+    near = _near_places(_places(customers, "x", "y"), _places(terminals, "tx", "ty"), r)
+    who = customers.select("customer_id", *_at("x_location", "y_location", "_cx", "_cy"))
+    what = terminals.select("terminal_id", *_at("x_location", "y_location", "_sx", "_sy"))
+    met = who.join(near, (F.col("_cx") == F.col("_x")) & (F.col("_cy") == F.col("_y")))
+    met = met.join(what, (F.col("_tx") == F.col("_sx")) & (F.col("_ty") == F.col("_sy")))
+    return met.select("customer_id", "terminal_id")
+
+
+def _at(x: str, y: str, to_x: str, to_y: str):
     # Adding 0.0 turns -0.0 into 0.0, so equal places also hash alike.
-    places = customers.select(
-        (F.col("x_location") + 0.0).alias("_x"), (F.col("y_location") + 0.0).alias("_y")
-    ).where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct()
-    places = places.select("_x", "_y", cell("_x").alias("_cx"), cell("_y").alias("_cy"))
-    stops = (
-        terminals.where(F.col("x_location").isNotNull() & F.col("y_location").isNotNull())
-        .groupBy(
-            (F.col("x_location") + 0.0).alias("_tx"), (F.col("y_location") + 0.0).alias("_ty")
-        )
-        .agg(F.collect_list("terminal_id").alias("_ids"))
-    )
+    return [(F.col(x) + 0.0).alias(to_x), (F.col(y) + 0.0).alias(to_y)]
+
+
+def _places(df: DataFrame, x: str, y: str) -> DataFrame:
+    placed = df.select(*_at("x_location", "y_location", f"_{x}", f"_{y}"))
+    return placed.where(F.col(f"_{x}").isNotNull() & F.col(f"_{y}").isNotNull()).distinct()
+
+
+def _near_places(places: DataFrame, stops: DataFrame, r: float) -> DataFrame:
+    cell = lambda v: F.floor(F.col(v) / F.lit(float(r)))
+    places = places.select("_x", "_y", cell("_x").alias("_cellx"), cell("_y").alias("_celly"))
     around = F.array(*[F.lit(d).cast("long") for d in (-1, 0, 1)])
     spread = (
         stops.select("*", cell("_tx").alias("_bx"), cell("_ty").alias("_by"))
-        .select("_tx", "_ty", "_ids", "_by", F.explode(F.transform(around, lambda d: F.col("_bx") + d)).alias("_cx"))
-        .select("_tx", "_ty", "_ids", "_cx", F.explode(F.transform(around, lambda d: F.col("_by") + d)).alias("_cy"))
+        .select("_tx", "_ty", "_by", F.explode(F.transform(around, lambda d: F.col("_bx") + d)).alias("_cellx"))
+        .select("_tx", "_ty", "_cellx", F.explode(F.transform(around, lambda d: F.col("_by") + d)).alias("_celly"))
     )
     dx, dy = F.col("_x") - F.col("_tx"), F.col("_y") - F.col("_ty")
+    near = places.join(spread, ["_cellx", "_celly"]).where(F.sqrt(dx * dx + dy * dy) < F.lit(float(r)))
+    return near.select("_x", "_y", "_tx", "_ty")
+
+
+def within_radius(customers: DataFrame, terminals: DataFrame, r: float) -> DataFrame:
+    """Customers with ``available_terminals`` (sorted ids closer than ``r``) and ``nb_terminals``.
+
+    The list form of :func:`pairs_within_radius`: one row holds all ids in reach of its customer.
+    Customers at one place share one answer. Customers without a terminal in reach keep an empty
+    list.
+    """
+    near = _near_places(_places(customers, "x", "y"), _places(terminals, "tx", "ty"), r)
+    what = terminals.select("terminal_id", *_at("x_location", "y_location", "_sx", "_sy"))
     near = (
-        places.join(spread, ["_cx", "_cy"])
-        .where(F.sqrt(dx * dx + dy * dy) < F.lit(float(r)))
+        near.join(what, (F.col("_tx") == F.col("_sx")) & (F.col("_ty") == F.col("_sy")))
         .groupBy("_x", "_y")
-        .agg(F.array_sort(F.flatten(F.collect_list("_ids"))).alias("_found"))
+        .agg(F.array_sort(F.collect_list("terminal_id")).alias("_found"))
     )
     joined = customers.join(
         near,

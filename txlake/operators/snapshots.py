@@ -161,6 +161,41 @@ def calendar_features(
     return sums.select(*columns)
 
 
+def calendar_features_on(
+    tx: DataFrame, days: list[tuple[dt.date, int]], windows=WINDOWS
+) -> DataFrame:
+    """:func:`calendar_features` for many (date, end_offset), each date once, in one scan.
+
+    The transactions are reduced to a count and a sum per customer and day; those partial rows, not
+    the transactions, are then handed to every date whose windows hold them.
+    """
+    first = min(d for d, _ in days) - dt.timedelta(days=max(windows))
+    last = max(max(d - dt.timedelta(days=end), d - dt.timedelta(days=1)) for d, end in days)
+    amount = F.col("tx_amount")
+    daily = (
+        _between(tx, first, last).where(F.col("customer_id").isNotNull())
+        .groupBy("customer_id", F.to_date("tx_datetime").alias("_day"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.count(amount).alias("_a"), F.sum(unscaled(amount)).alias("_s"))
+    )
+    dates = F.array(*[F.struct(F.lit(d).alias("dt"), F.lit(end).alias("end")) for d, end in days])
+    spread = daily.select("*", F.explode(dates).alias("_to")).select(
+        "customer_id", F.col("_to.dt").alias("dt"), F.col("_to.end").alias("_end"), "_n", "_a", "_s",
+        F.date_diff(F.col("_to.dt"), F.col("_day")).alias("_age"),
+    )
+    aggs, columns = [], [F.col("customer_id"), F.col("dt")]
+    held = F.lit(False)
+    for n in windows:
+        inside = (F.col("_age") <= n) & (F.col("_age") >= (F.lit(n) if n == 1 else F.col("_end")))
+        held = held | inside
+        for name in ("_n", "_a", "_s"):
+            aggs.append(F.sum(F.when(inside, F.col(name))).alias(f"{name}{n}"))
+        total = F.col(f"_s{n}").cast("double") / F.lit(100.0).cast("double")
+        columns.append(F.coalesce(F.col(f"_n{n}"), F.lit(0)).cast("long").alias(f"customer_id_nb_tx_{n}day_window"))
+        mean = ratio(total, F.coalesce(F.col(f"_a{n}"), F.lit(0)))
+        columns.append(mean.alias(f"customer_id_avg_amount_{n}day_window"))
+    return spread.where(held).groupBy("customer_id", "dt").agg(*aggs).select(*columns)
+
+
 def validity(customer_features: DataFrame) -> DataFrame:
     """Dated feature rows with the half-open span of days ``[_from, _to)`` they apply to.
 

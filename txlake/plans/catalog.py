@@ -198,7 +198,10 @@ ROW = "tx_id, tx_datetime, customer_id, terminal_id, CAST(tx_amount AS DOUBLE) A
 
 @query(v.with_(v.TX, v.CHANGES, body=f"SELECT op, lsn, {ROW} FROM changes"))
 def cdc_parse(spark, sf_dir):
-    rows = cdc.parse_changes(v.cdc_log(spark, sf_dir), cdc.TRANSACTIONS)
+    """A log kept in files, read as a batch."""
+    path = f"{staging_path(spark, 'log')}/log"
+    v.cdc_log(spark, sf_dir).write.parquet(path)
+    rows = cdc.parse_changes(topics.read_log_files(spark, path), cdc.TRANSACTIONS)
     return _plain(
         rows.select(F.col("_op").alias("op"), F.col("_lsn").alias("lsn"), *cdc.TRANSACTIONS.columns)
     )
@@ -303,9 +306,11 @@ def merge_upsert(spark, sf_dir):
 def merge_upsert_composite(spark, sf_dir):
     """Dated customer features: one date recomputed, one date new."""
     tx = v.transactions(spark, sf_dir)
-    cal = lambda day, end=1: snapshots.calendar_features(tx, dt.date(2024, 1, day), end_offset=end)
-    old = merge.with_audit(cal(20).unionByName(cal(25)), F.lit(BEFORE).cast("timestamp"))
-    new = merge.with_audit(cal(25, 0).unionByName(cal(28)), F.lit(AFTER).cast("timestamp"))
+    cal = lambda *days: snapshots.calendar_features_on(
+        tx, [(dt.date(2024, 1, day), end) for day, end in days]
+    )
+    old = merge.with_audit(cal((20, 1), (25, 1)), F.lit(BEFORE).cast("timestamp"))
+    new = merge.with_audit(cal((25, 0), (28, 1)), F.lit(AFTER).cast("timestamp"))
     return _plain(merge.merge_upsert(old, new, ["customer_id", "dt"]))
 
 
@@ -364,6 +369,84 @@ def bulk_load(spark, sf_dir):
     return _plain(spark.table(table))
 
 
+@query(
+    v.with_(
+        v.CUSTOMERS, v.TERMINALS,
+        body=f"""SELECT 'customer' AS kind, customer_id AS id, x_location + customer_id % 2 AS x_location, y_location,
+                 {AUDIT_SQL.format(old="customer_id % 3 > 0", new="customer_id % 2 = 1 OR customer_id % 3 = 0")} FROM customers
+                 UNION ALL SELECT 'terminal', terminal_id, x_location + terminal_id % 2, y_location,
+                 {AUDIT_SQL.format(old="terminal_id % 3 > 0", new="terminal_id % 2 = 1 OR terminal_id % 3 = 0")} FROM terminals""",
+    )
+)
+def bulk_load_places(spark, sf_dir):
+    """Customers and terminals: two thirds at first, then those that moved and those that are new."""
+    base = staging_path(spark, "warehouse")
+    database = "txlake_" + base.rsplit("-", 1)[1]
+    out = []
+    for kind, rows in (("customer", v.customers(spark, sf_dir)), ("terminal", v.terminals(spark, sf_dir))):
+        key = F.col(f"{kind}_id")
+        rows = rows.select(key, "x_location", "y_location")
+        moved = rows.where((key % 2 == 1) | (key % 3 == 0)).withColumn("x_location", F.col("x_location") + key % 2)
+        tables.load_table(rows.where(key % 3 > 0), database, kind, F.lit(BEFORE).cast("timestamp"), base)
+        table = tables.load_table(moved, database, kind, F.lit(AFTER).cast("timestamp"), base)
+        out.append(
+            spark.table(table).select(
+                F.lit(kind).alias("kind"), key.alias("id"), "x_location", "y_location",
+                "row_created_timestamp", "row_updated_timestamp",
+            )
+        )
+    return out[0].unionByName(out[1])
+
+
+def _flat_sql(entity: str, value: str) -> str:
+    return ", ".join(
+        f"{entity}_id_nb_tx_{n}day_window AS nb_{n}, {entity}_id_{value}_{n}day_window AS value_{n}" for n in (1, 7, 30)
+    )
+
+
+@query(
+    v.with_(
+        v.TX, v.calendar_sql("a", "2024-01-20"), v.calendar_sql("b", "2024-01-25"), v.calendar_sql("c", "2024-01-28"),
+        v.terminal_features_sql(),
+        """last_ AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY terminal_id ORDER BY us DESC, tx_id) AS rn
+             FROM term) WHERE rn = 1)""",
+        body=f"""SELECT 'customer' AS kind, customer_id AS id, strftime(dt, '%Y-%m-%d') AS dt, {_flat_sql("customer", "avg_amount")},
+                 {AUDIT_SQL.format(old="dt < DATE '2024-01-28'", new="dt > DATE '2024-01-20'")}
+                 FROM (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)
+                 UNION ALL SELECT 'terminal', terminal_id, NULL, {_flat_sql("terminal", "risk")},
+                 {AUDIT_SQL.format(old="terminal_id % 2 = 0", new="TRUE")} FROM last_""",
+    )
+)
+def bulk_load_features(spark, sf_dir):
+    """Dated customer features and undated terminal features, each loaded twice."""
+    base = staging_path(spark, "warehouse")
+    database = "txlake_" + base.rsplit("-", 1)[1]
+    tx = v.transactions(spark, sf_dir)
+    days = lambda *days: snapshots.calendar_features_on(tx, [(dt.date(2024, 1, d), 1) for d in days])
+    terms = stage(snapshots.terminal_snapshot(tx), "terminal-features")
+    loads = {
+        "feature_customer": (days(20, 25), days(25, 28)),
+        "feature_terminal": (terms.where("terminal_id % 2 = 0"), terms),
+    }
+    out = []
+    for name, (old, new) in loads.items():
+        tables.load_table(old, database, name, F.lit(BEFORE).cast("timestamp"), base)
+        table = spark.table(tables.load_table(new, database, name, F.lit(AFTER).cast("timestamp"), base))
+        entity, value = ("customer", "avg_amount") if "customer" in name else ("terminal", "risk")
+        day = F.date_format("dt", "yyyy-MM-dd") if "dt" in table.columns else F.lit(None).cast("string")
+        flat = [
+            F.col(f"{entity}_id_{v_}_{n}day_window").alias(f"{to}_{n}")
+            for n in (1, 7, 30) for v_, to in (("nb_tx", "nb"), (value, "value"))
+        ]
+        out.append(
+            table.select(
+                F.lit(entity).alias("kind"), F.col(f"{entity}_id").alias("id"), day.alias("dt"), *flat,
+                "row_created_timestamp", "row_updated_timestamp",
+            )
+        )
+    return out[0].unionByName(out[1])
+
+
 PLACES = ["id", "x_location", "y_location"]
 
 
@@ -707,15 +790,15 @@ def _folds_sql(starts: list[int], with_delay: bool, days: int = 7) -> str:
 
 @query(_folds_sql([START], True).replace("SELECT tx_id, fold, split", "SELECT tx_id, split"))
 def split_train_delay_test(spark, sf_dir):
-    return splits.split_train_delay_test(v.transactions(spark, sf_dir), START).select("tx_id", "split")
+    tx = v.transactions(spark, sf_dir)
+    return splits.split_train_delay_test(tx, START, origin=v.ORIGIN).select("tx_id", "split")
 
 
 @query(_folds_sql([15, 10, 5], False, 5))
 def prequential_folds(spark, sf_dir):
     """Three whole folds of 15 days."""
-    return splits.prequential_folds(v.transactions(spark, sf_dir), 15, FOLDS, 5, 5, 5).select(
-        "tx_id", "fold", "split"
-    )
+    folds = splits.prequential_folds(v.transactions(spark, sf_dir), 15, FOLDS, 5, 5, 5, origin=v.ORIGIN)
+    return folds.select("tx_id", "fold", "split")
 
 
 HASH = "CAST(CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) AS DOUBLE) / CAST(4294967296 AS DOUBLE)"
@@ -893,8 +976,10 @@ def scale_features(spark, sf_dir):
 
 
 def _split_features(spark, sf_dir, start=START):
-    tx = v.transactions(spark, sf_dir)
-    rows = splits.split_train_delay_test(feature_frame(tx), start, with_delay=False)
+    # The days of the split and the 37 before them that features look back on.
+    begin, end = (v.ORIGIN + dt.timedelta(days=d) for d in (start - 37, start + 21))
+    tx = files.in_time_range(v.transactions(spark, sf_dir), begin, end)
+    rows = splits.split_train_delay_test(feature_frame(tx), start, with_delay=False, origin=v.ORIGIN)
     rows = rows.select("tx_id", "customer_id", "tx_time_days", "tx_fraud", "split", *FEATURES)
     staged = stage(rows, "split-features", ["split"])
     return staged.where("split = 'train'"), staged.where("split = 'test'")
