@@ -52,11 +52,14 @@ def drop_repeated_lines(
     holders = stage(
         hashed.groupBy("h1", "h2", "id", "version").agg(F.collect_set("pos").alias("positions")), "line-holders"
     )
-    heavy = (
+    # Written, so that the join back has an exchange of its own on either side: AQE can then split the
+    # holders of a line that very many documents share, or broadcast a short list.
+    heavy = stage(
         holders.groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
         .where((F.col("n") >= min_documents) & F.col("first_id").isNotNull())
-        .select("h1", "h2", "first_id")
+        .select("h1", "h2", "first_id"),
+        "line-heavy",
     )
     dropped = (
         holders.join(heavy, ["h1", "h2"])

@@ -122,7 +122,13 @@ def op8_simhash(spark, sf_dir):
     )
 
 
-@query()
+@query("""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN p.page_id > f.first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id > f.first_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)""")
 def op4_warc(spark, sf_dir):
     """Every page written to an archive and read back; digests are checked while reading."""
     folder = staging_path(spark, "warc")
