@@ -840,6 +840,12 @@ cum AS (SELECT *, coalesce(sum(p) OVER w, 0) AS tp0, coalesce(sum(n) OVER w, 0)
 ranking AS (SELECT model, round(sum(CAST(n AS DOUBLE) * (tp0 + p * CAST(0.5 AS DOUBLE))) / (CAST(sum(p) AS DOUBLE) * sum(n)), 6) AS auc_roc,
   round(sum(CAST(p AS DOUBLE) * (CAST(tp0 + p AS DOUBLE) / (tp0 + p + fp0 + n))) / sum(p), 6) AS average_precision
   FROM cum GROUP BY model)"""
+# Unrounded; without frauds the area is null and the precision 0.
+RANKING_RAW = (
+    RANKING.replace("round(sum(", "(sum(").replace(", 6) AS", ") AS")
+    .replace("/ (CAST(sum(p) AS DOUBLE) * sum(n))", "/ nullif(CAST(sum(p) AS DOUBLE) * sum(n), 0)")
+    .replace("/ sum(p))", "/ greatest(sum(p), 1))")
+)
 
 
 @query(v.with_(v.TX, v.SCORED, v.MODEL_SCORES, RANKING, body="SELECT * FROM ranking"))
@@ -996,7 +1002,8 @@ LEARNERS = ", ".join(f"('{name}')" for name in models.NAMES)
                  CAST(sum(tx_fraud) FILTER (WHERE split = 'train') AS BIGINT) AS train_frauds,
                  count(*) FILTER (WHERE split = 'test') AS scored_rows,
                  CAST(sum(tx_fraud) FILTER (WHERE split = 'test') AS BIGINT) AS scored_frauds,
-                 {len(FEATURES)} AS features, TRUE AS in_range, TRUE AS timed, TRUE AS better_than_chance
+                 {len(FEATURES)} AS features, TRUE AS in_range, TRUE AS timed,
+                 CASE WHEN sum(tx_fraud) FILTER (WHERE split = 'test') > 0 THEN TRUE END AS better_than_chance
                  FROM split_, learners GROUP BY model""",
     )
 )
@@ -1134,7 +1141,7 @@ def _eval_sql() -> str:
     picks = []
     for m in EVAL_METRICS:
         def best(kind: str, m: str = m) -> str:
-            return f"(SELECT * FROM wide ORDER BY round({m}_{kind}, 9) DESC, parameters LIMIT 1)"
+            return f"(SELECT * FROM wide ORDER BY round({m}_{kind}, 9) DESC NULLS LAST, parameters LIMIT 1)"
 
         picks.append(
             f"""SELECT '{m}' AS metric, e.parameters AS best_estimated_parameters,
@@ -1152,7 +1159,7 @@ def _eval_sql() -> str:
         *_folds_tables(starts, False, EVAL_DAYS),
         f"""model_scores AS (SELECT fold || '|limit=' || p.l AS model, tx_id, tx_time_days, customer_id, tx_fraud,
              {_rule_sql("p.l")} AS score FROM split_, (VALUES {limits}) AS p(l) WHERE split = 'test')""",
-        CARDS, WALK, RANKING.replace("round(sum(", "(sum(").replace(", 6) AS", ") AS"),
+        CARDS, WALK, RANKING_RAW,
         f"""each AS (SELECT model, auc_roc, average_precision,
              (SELECT avg(card_precision) FROM per_day WHERE per_day.model = ranking.model) AS card_precision_at_{TOP}
              FROM ranking)""",
@@ -1183,7 +1190,7 @@ def _cross_sql() -> str:
         v.TX,
         f"""model_scores AS (SELECT (row_number() OVER (PARTITION BY tx_fraud ORDER BY
              substr(md5(tx_id || '|0'), 1, 8), tx_id) - 1) % 3 AS model, tx_fraud, {_rule_sql(str(LIMITS[1]))} AS score FROM tx)""",
-        RANKING.replace("round(sum(", "(sum(").replace(", 6) AS", ") AS"),
+        RANKING_RAW,
         """balanced AS (SELECT model, (avg(CASE WHEN tx_fraud = 1 THEN CAST(score >= CAST(0.5 AS DOUBLE) AS INT) END)
              + avg(CASE WHEN tx_fraud = 0 THEN 1 - CAST(score >= CAST(0.5 AS DOUBLE) AS INT) END)) / 2 AS balanced_accuracy
              FROM model_scores GROUP BY model)""",
