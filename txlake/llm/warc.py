@@ -30,7 +30,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 DATE = "2024-01-01T00:00:00Z"
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 ENTRY = "shard long, part long, file string, records long, bytes long, sha256 string"
 RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
