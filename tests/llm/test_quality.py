@@ -39,12 +39,13 @@ def test_verdicts(spark):
     clean = ". ".join(cases.sentence(rng) for _ in range(12))
     rows = [
         (1, clean, None, None, None), (2, "## ## " + clean.replace(" ", " $$ "), None, None, None), (3, clean.upper(), None, None, None),
-        (4, (clean + "\n") * 4, None, None, None), (5, " ".join(["abcdefghij" * 9] * 3 + [str(k) * 30 for k in range(20)]), None, None, None), (6, "", None, None, None),
+        (4, (clean + "\n") * 4, None, None, None), (5, " ".join(str(k) + "abcdefghij" * 12 for k in range(20)), None, None, None), (6, "", None, None, None),
+        (7, " ".join(f"{w} {w}" for w in clean.split()[:40]), None, None, None), (8, "東京都は日本の首都です。" * 3 + " " + " ".join("大阪は西にある。" * 3 + str(k) for k in range(12)), None, None, None),
     ]
     df = cases.frame(spark, rows)
     kept = {r["doc_id"]: r["kept"] for r in quality.figures_and_verdict(df).collect()}
-    assert kept == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False}
-    assert [r["doc_id"] for r in quality.keep_good(df).collect()] == [1]
+    assert kept == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False, 7: False, 8: True}
+    assert sorted(r["doc_id"] for r in quality.keep_good(df).collect()) == [1, 8]
 
 
 def test_order_changes_nothing(spark):

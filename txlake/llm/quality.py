@@ -38,6 +38,11 @@ class Figures:
         """Code points inside words."""
         return F.length(F.array_join(words(self.text), "")).cast("long")
 
+    @property
+    def n_stutter(self) -> Column:
+        """Words that equal the word before."""
+        return bind(words(self.text), stutter)
+
     @property
     def n_symbols(self) -> Column:
         return F.length(F.regexp_replace(self.text, f"[^{SYMBOLS}]+", "")).cast("long")
@@ -77,6 +82,10 @@ class Computed:
         return F.col(name)
 
 
+def stutter(found: Column) -> Column:
+    return F.size(F.filter(found, lambda w, i: F.coalesce(F.get(found, i - 1) == w, F.lit(False)))).cast("long")
+
+
 def word_hashes(found: Column) -> Column:
     return F.transform(found, lambda w: F.xxhash64(w))
 
@@ -126,7 +135,8 @@ RULES = (
     Rule("repeated words", lambda f: 100 * f.n_repeat_words > 20 * f.n_words),
     Rule("symbols", lambda f: 10 * f.n_symbols > f.n_words),
     Rule("repeated lines", lambda f: 2 * f.n_dup_lines > f.n_lines),
-    Rule("long words", lambda f: f.word_chars > 20 * f.n_words),
+    Rule("long words", lambda f: f.word_chars > 100 * f.n_words),
+    Rule("stutter", lambda f: 5 * f.n_stutter > f.n_words),
     Rule("capitals", lambda f: (f.n_letters >= 20) & (2 * f.n_upper > f.n_letters)),
 )
 
@@ -194,7 +204,7 @@ def figures_and_verdict(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     figures = windows.select(
         "doc_id", F.size("found").cast("long").alias("n_words"),
         F.length(F.array_join("found", "")).cast("long").alias("word_chars"),
-        repeated_words(F.col("windows")).alias("n_repeat_words"),
+        repeated_words(F.col("windows")).alias("n_repeat_words"), stutter(F.col("found")).alias("n_stutter"),
         *[getattr(lazy, name).alias(name) for name in ("n_symbols", "n_dup_lines", "n_lines", "n_upper", "n_letters")],
     )
     columns = Computed()

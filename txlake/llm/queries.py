@@ -63,6 +63,7 @@ n AS (
   SELECT doc_id, text, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS worded,
+         len(list_filter(range(2, len(w) + 1), lambda k: w[k] = w[k - 1])) AS n_stutter,
          length(regexp_replace(text, '\P{{L}}', '', 'g')) AS letters,
          length(regexp_replace(text, '\P{{Lu}}', '', 'g')) AS upper_letters
   FROM d
@@ -77,14 +78,14 @@ n AS (
 ), s AS (
   SELECT n.doc_id, n_words, word_chars, n_symbols, len(worded) AS n_lines,
          len(worded) - len(list_distinct(worded)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
-         letters, upper_letters
+         n_stutter, letters, upper_letters
   FROM n LEFT JOIN covered c USING (doc_id)
 ), b AS (
   SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed FROM s
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
-            OR word_chars > 20 * n_words OR (letters >= 20 AND 2 * upper_letters > letters)) AS kept
+            OR word_chars > 100 * n_words OR 5 * n_stutter > n_words OR (letters >= 20 AND 2 * upper_letters > letters)) AS kept
 FROM b""")
 def op3_quality_rules(spark, sf_dir):
     """Figures of every text, the base rules and the verdict of the whole cascade."""
