@@ -11,17 +11,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlake.operators.skew import broadcast_if_small
-from txlake.session import materialize
+from txlake.session import materialize, stage
 
 _SLICE, _POS = "_slice", "_pos"
+SLICE_ROWS = 4_000_000
 
 
 def sorted_slices(df: DataFrame, *order: str | Column) -> DataFrame:
     """``df`` sorted by ``order`` and fixed on disk, with ``_slice`` and the row's ``_pos`` in it.
 
-    ``order`` must be total (end it with a unique column) for positions to be reproducible.
+    ``order`` must be total (end it with a unique column) for positions to be reproducible. The rows
+    are written first: counting them and sampling their ranges then reads files instead of computing
+    ``df`` again.
     """
-    fixed = materialize(df.orderBy(*order))
+    rows = stage(df, "to-sort")
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = -(-rows.count() // SLICE_ROWS)
+    # Beyond the session's number of partitions, as many slices as the rows ask for.
+    sliced = rows.orderBy(*order) if parts <= least else (
+        rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    )
+    fixed = materialize(sliced)
     # Upper bits: partition number; lower 33 bits: row number within the partition.
     where = F.monotonically_increasing_id()
     return fixed.withColumn("_where", where).select(

@@ -8,26 +8,18 @@ from pyspark.sql import functions as F
 from txlake.session import stage
 
 MIN_HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
 
 
-def hot_keys(
-    df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame | None:
-    """Keys too large for one task, or None.
+def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``min_rows`` rows, which are too many for one task, or None.
 
-    A key is hot with more than ``max(min_rows, total / max_keys)`` rows, so fewer than
-    ``max_keys`` keys can ever qualify: that bound is what makes collecting and broadcasting the
-    list safe. The usual case, no hot key, is one pass over the key column; the
-    counts combine before the shuffle.
+    The limit does not grow with the table. The counts combine before their shuffle; the list is
+    written to the shared folder, so joins broadcast a short one and shuffle a long one. The usual
+    case, no hot key, is one pass over the key column.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    seen = counts.agg(F.max("_rows").alias("top"), F.sum("_rows").alias("total")).first()
-    threshold = max(min_rows, (seen["total"] or 0) // max_keys)
-    if (seen["top"] or 0) <= threshold:
-        return None
-    found = counts.where(F.col("_rows") > threshold).select(key)
-    return F.broadcast(df.sparkSession.createDataFrame(found.toArrow(), found.schema))
+    found = broadcast_if_small(counts.where(F.col("_rows") > min_rows).select(key))
+    return found if found.take(1) else None
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
