@@ -26,22 +26,23 @@ SYMBOLS = "#*$%&|<>"
 class Figures:
     """The figures of one text, each an expression of its own that is evaluated only where it is used."""
 
-    def __init__(self, text: Column):
+    def __init__(self, text: Column, found: Column | None = None):
         self.text = text_of(text)
+        self.found = words(self.text) if found is None else found
 
     @property
     def n_words(self) -> Column:
-        return F.size(words(self.text)).cast("long")
+        return F.size(self.found).cast("long")
 
     @property
     def word_chars(self) -> Column:
         """Code points inside words."""
-        return F.length(F.array_join(words(self.text), "")).cast("long")
+        return F.length(F.array_join(self.found, "")).cast("long")
 
     @property
     def n_stutter(self) -> Column:
         """Words that equal the word before."""
-        return bind(words(self.text), stutter)
+        return bind(self.found, stutter)
 
     @property
     def n_symbols(self) -> Column:
@@ -72,7 +73,7 @@ class Figures:
     @property
     def n_repeat_words(self) -> Column:
         """Words inside windows of five that are found twice or more in the text, the first included."""
-        return bind(word_hashes(words(self.text)), lambda h: bind(window_hashes(h), repeated_words))
+        return bind(word_hashes(self.found), lambda h: bind(window_hashes(h), repeated_words))
 
 
 class Computed:
@@ -185,7 +186,9 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str =
     verdict each; other columns play no part. An empty table gives an empty one.
     """
     ordered = [m.rule for m in measure(docs, rules, text_col, sample_rows)]
-    return docs.where(passes(Figures(column(docs, text_col)), ordered))
+    text = column(docs, text_col)
+    # Nearly every rule needs the words: they are found once, the rest of each rule where it is reached.
+    return docs.where(bind(words(text), lambda found: passes(Figures(text, found), ordered)))
 
 
 def figures_and_verdict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
