@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.llm import line_dedup, mixing, pieces, quality, simhash
-from txlake.llm.common import table
+from txlake.llm.common import bound_batches, table
 from txlake.session import stage
 
 
@@ -39,11 +39,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: its id, source and ids, the number of ids, and hashes of ids and decoded text."""
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    ids = docs.select("doc_id", "source", pieces.encode(F.col("text"), model).alias("ids"))
-    return ids.select(
-        "doc_id", "source", "ids", pieces.n_ids(F.col("ids")).alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(pieces.decode(F.col("ids"), model), 256).alias("decoded_sha256"),
+    bound_batches(spark)
+    both = docs.select("doc_id", "source", pieces.round_trip(F.col("text"), model).alias("r"))
+    return both.select(
+        "doc_id", "source", F.col("r.ids").alias("ids"), pieces.n_ids(F.col("r.ids")).alias("n_tokens"),
+        F.sha2("r.ids", 256).alias("ids_sha256"), F.sha2("r.text", 256).alias("decoded_sha256"),
     )
 
 

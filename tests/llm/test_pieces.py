@@ -15,8 +15,10 @@ def test_equals_the_library(spark):
     rows = cases.documents() + [(500 + i, t, None, None, None) for i, t in enumerate(ODD)]
     model = pieces.read_model(PATH)
     df = cases.frame(spark, rows).select("doc_id", "text", pieces.encode(F.col("text"), model).alias("ids"))
+    both = cases.frame(spark, rows).select(pieces.round_trip(F.col("text"), model).alias("r")).select("r.*").collect()
     got = df.select("*", pieces.n_ids(F.col("ids")).alias("n"), pieces.decode(F.col("ids"), model).alias("back")).collect()
     assert len(got) == len(rows)
+    assert sorted((bytes(r["ids"]), r["text"]) for r in both) == sorted((bytes(r["ids"]), r["back"]) for r in got)
     for r in got:
         ids = lib.encode(r["text"] or "", add_bos=True, add_eos=True)
         assert np.frombuffer(r["ids"], "<u4").tolist() == ids

@@ -29,6 +29,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch of texts hold more than ``BATCH_BYTES`` (Spark's default is 64 MB), so that
+    a worker's memory does not depend on how long the texts are. Results do not depend on it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name).lower().removesuffix("b")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def column(df: DataFrame, name: str) -> Column:
     """The column of that very name; dots and odd characters are part of the name."""
     return df["`" + name.replace("`", "``") + "`"]

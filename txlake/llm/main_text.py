@@ -29,7 +29,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm.common import column, text_of
+from txlake.llm.common import bound_batches, column, text_of
 
 SAMPLE_PAGES = 100
 TRAIN_PAGES = 800
@@ -542,6 +542,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     sentences only and gives no rows.
     """
     spark = pages.sparkSession
+    bound_batches(spark)
     sources = pages.select(text_of(column(pages, html_col)).alias("html"))
     if trees is None:
         trees = train(spark, [r[0] for r in sources.limit(SAMPLE_PAGES).collect()])

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from txlake.llm.common import text_of
 
 MARK = "▁"
-TABLE_CHUNKS = 400_000
+TABLE_CHUNKS = 200_000
 BLOCK_CHUNKS = 100_000
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -110,8 +110,7 @@ def encode(text: Column, model: bytes) -> Column:
     def ids(texts: pd.Series) -> pd.Series:
         return pd.Series(Codec.of(model).encode(texts.tolist()))
 
-    # So marked, Spark keeps the ids as a column of their own instead of encoding once per use.
-    return ids.asNondeterministic()(text_of(text))
+    return ids(text_of(text))
 
 
 def decode(ids: Column, model: bytes) -> Column:
@@ -125,6 +124,19 @@ def decode(ids: Column, model: bytes) -> Column:
     return texts(ids)
 
 
+def round_trip(text: Column, model: bytes) -> Column:
+    """(ids, text): the ids as ``encode`` gives them and what ``decode`` makes of these ids, in one pass
+    through one worker."""
+
+    @F.pandas_udf("ids binary, text string")
+    def both(texts: pd.Series) -> pd.DataFrame:
+        codec = Codec.of(model)
+        ids = codec.encode(texts.tolist())
+        return pd.DataFrame({"ids": ids, "text": [codec.decode(x) for x in ids]}, dtype=object)
+
+    return both(text_of(text))
+
+
 def n_ids(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.llm import ann, line_dedup, main_text, mixing, pieces, pii, quality, simhash, token_counts, warc
-from txlake.llm.common import table
+from txlake.llm.common import bound_batches, table
 from txlake.session import staging_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,10 +96,11 @@ def op3_quality_rules(spark, sf_dir):
 def op5_sentencepiece(spark, sf_dir):
     """Number and hash of the ids of every text, and the hash of the text they decode to."""
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    ids = table(spark, sf_dir, "documents").select("doc_id", pieces.encode(F.col("text"), model).alias("ids"))
-    return ids.select(
-        "doc_id", pieces.n_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(pieces.decode(F.col("ids"), model), 256).alias("decoded_sha256"),
+    bound_batches(spark)
+    both = table(spark, sf_dir, "documents").select("doc_id", pieces.round_trip(F.col("text"), model).alias("r"))
+    return both.select(
+        "doc_id", pieces.n_ids(F.col("r.ids")).alias("n_tokens"), F.sha2("r.ids", 256).alias("ids_sha256"),
+        F.sha2("r.text", 256).alias("decoded_sha256"),
     )
 
 

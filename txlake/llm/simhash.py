@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import column, fresh, text_of
+from txlake.llm.common import bound_batches, column, fresh, text_of
 from txlake.session import stage
 
 BITS = 64
@@ -186,6 +186,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null, empty and blank texts have the fingerprint zero and are linked like any other. Ids are
     integers; other columns play no part. An empty table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     text = column(docs, text_col)
     rows = stage(
         docs.select(column(docs, id_col).cast("long").alias("id"), F.xxhash64(text_of(text)).alias("version"), fingerprints(text, shingle).alias("fp")),

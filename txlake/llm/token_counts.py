@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlake.llm.common import column, text_of
+from txlake.llm.common import bound_batches, column, text_of
 from txlake.llm.pieces import Codec
 from txlake.llm.shared_files import TempFile, open_fs
 from txlake.session import stage
@@ -71,6 +71,7 @@ def write_token_files(
     stands where. Every row is a document: null and empty texts have no token but their separator,
     null ids and repeated rows are kept. Ids are integers. An empty table gives no file.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(column(docs, id_col).cast("long").alias("id"), text_of(column(docs, text_col)).alias("text"))
     written = stage(rows.mapInPandas(_writer(folder, model, max_file_bytes), WRITTEN), "token-order")
     files = written.where(F.col("ordinal").isNull()).select("file", "n_bytes")

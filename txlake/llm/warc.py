@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm.common import column, text_of
+from txlake.llm.common import bound_batches, column, text_of
 from txlake.llm.shared_files import TempFile, open_fs
 from txlake.session import stage
 
@@ -128,6 +128,7 @@ def write_archives(
     have no smallest: they revisit the smallest id of the same payload if there is one; they are
     written in shards of their own. An empty table gives an empty manifest. Other columns play no part.
     """
+    bound_batches(pages.sparkSession)
     payload = F.encode(text_of(column(pages, payload_col)), "UTF-8")
     keyed = pages.select(
         column(pages, id_col).cast("long").alias("id"), column(pages, url_col).cast("string").alias("url"), payload.alias("payload")
