@@ -72,3 +72,24 @@ def test_pruning_keeps_diverse_edges():
     points = np.array([[1, 0, 0], [0.9, np.sqrt(1 - 0.81), 0], [0.89, np.sqrt(1 - 0.89**2), 0], [0.6, 0, 0.8]], dtype=np.float32)
     kept = ann.robust_prune(np.array([0]), np.array([[1, 2, 3, 1, 0, -1]]), points, 3, 1.2)
     assert kept.tolist() == [[1, 3, -1]]
+
+
+def test_recall_beside_long_vectors(spark):
+    """One vector of length 1e4 among unit vectors, and lengths over four orders of magnitude."""
+    rng = np.random.default_rng(2)
+    unit = rng.normal(size=(3000, 8))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    for lengths in (np.where(np.arange(3000) == 7, 1e4, 1.0), 10 ** rng.uniform(-2, 2, size=3000)):
+        vectors = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(unit * lengths[:, None])]
+        got, want = result(ann.nearest(make(spark, vectors), shard_points=1000)), brute(vectors, 20, 20)
+        found = np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want])
+        assert found >= 0.95
+
+
+def test_bands_and_added_coordinate():
+    vecs = np.array([[1e4, 0.0], [1.0, 0.0], [0.6, 0.8], [2600.0, 0.0], [1e-200, 0.0]])
+    bands = ann.length_bands(vecs)
+    assert bands[0] == bands[3] == 0 and bands[1] == bands[2] > 0 and bands[4] > bands[1]
+    # Two short vectors beside a long one keep their distance.
+    points = ann._same_length(vecs[:3]) * 1e4
+    assert np.isclose(((points[1] - points[2]) ** 2).sum(), 0.4**2 + 0.8**2)

@@ -7,7 +7,9 @@ blocks; a beam search walks the graph and reports its best points, scored exactl
 vectors. The best of all shards are merged by score.
 
 For the largest inner product, a coordinate is added to every point that brings all to the same length;
-then the nearest point and the largest product agree.
+then the nearest point and the largest product agree. That holds only among points of similar lengths: beside a
+far longer one all others lie at one spot. So the points of a shard are parted by length into bands,
+each with a graph of its own, and a query searches every band of every shard.
 
 Copies of a vector are one point, so a vector that a third of all rows hold is no obstacle in a graph;
 each point carries the smallest ids of its copies, no more than a result can show.
@@ -32,22 +34,28 @@ SHARD_POINTS = 8192
 QUERY_BLOCK = 4096
 BATCH = 512
 PRUNE_FROM = 96
-INDEX = "shard int, point long, node string, vec array<double>, edges array<int>"
+# The longest point of a band is less than 2 ** BAND_OCTAVES times as long as the shortest.
+BAND_OCTAVES = 2
+INDEX = "shard int, point long, node string, vec array<double>, edges array<int>, place int, band int, starts int"
 
 
-def beam_search(queries: np.ndarray, points: np.ndarray, graph: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def beam_search(
+    queries: np.ndarray, points: np.ndarray, graph: np.ndarray, start: np.ndarray, width: int, less: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best-first search for a batch of queries at once.
 
     Returns (ids, products, visited): for each query its ``width`` best points by inner product, best
-    first, -1 where there are fewer, and all points whose edges were followed, -1 where done.
+    first, -1 where there are fewer, and all points whose edges were followed, -1 where done. ``less``
+    is taken from the products with each point; with half the squared lengths the nearest point is best.
     """
     n = len(queries)
+    less = np.zeros(len(points), dtype=points.dtype) if less is None else less
     ids = np.full((n, width), -1, dtype=np.int64)
     prods = np.full((n, width), -np.inf, dtype=points.dtype)
     done = np.ones((n, width), dtype=bool)
     first = start[:width]
     ids[:, : len(first)] = first
-    prods[:, : len(first)] = queries @ points[first].T
+    prods[:, : len(first)] = queries @ points[first].T - less[first]
     done[:, : len(first)] = False
     order = np.argsort(-prods, axis=1, kind="stable")
     ids, prods, done = (np.take_along_axis(a, order, axis=1) for a in (ids, prods, done))
@@ -66,7 +74,7 @@ def beam_search(queries: np.ndarray, points: np.ndarray, graph: np.ndarray, star
         visited.append(step)
         near = graph[here]
         known = (near[:, :, None] == ids[rows][:, None, :]).any(axis=2) | (near < 0)
-        new = np.einsum("qd,qrd->qr", queries[rows], points[near])
+        new = np.einsum("qd,qrd->qr", queries[rows], points[near]) - less[near]
         new[known] = -np.inf
         near = np.where(known, -1, near)
         all_ids = np.concatenate([ids[rows], near], axis=1)
@@ -83,20 +91,20 @@ def robust_prune(centres: np.ndarray, candidates: np.ndarray, points: np.ndarray
     """For each centre the candidates (ids, -1 for none) that stay, nearest first, -1 where fewer.
 
     The nearest is kept, and it removes those that are nearer to it than to the centre by the factor
-    ``alpha``; so on with the nearest of the rest. All points have the same length, so squared
-    distances are differences of products.
+    ``alpha``; so on with the nearest of the rest. Distances are those of the ways from the centre, so
+    they are exact to the scale of a centre's candidates, wherever all of them lie.
     """
-    length = float((points[centres[0]] ** 2).sum())
     cand = np.sort(candidates, axis=1)
     repeated = np.zeros(cand.shape, dtype=bool)
     repeated[:, 1:] = cand[:, 1:] == cand[:, :-1]
     cand = np.where(repeated | (cand == centres[:, None]), -1, cand)
-    d = 2 * (length - np.einsum("bd,bcd->bc", points[centres], points[cand]))
-    d = np.where(cand < 0, np.inf, np.maximum(d, 0))
+    ways = points[cand] - points[centres][:, None]
+    d = np.where(cand < 0, np.inf, np.einsum("bcd,bcd->bc", ways, ways))
     order = np.argsort(d, axis=1, kind="stable")[:, :PRUNE_FROM]
     cand, d = np.take_along_axis(cand, order, axis=1), np.take_along_axis(d, order, axis=1)
-    vecs = points[cand]
-    between = 2 * (length - np.matmul(vecs, vecs.transpose(0, 2, 1)))
+    ways = np.take_along_axis(ways, order[:, :, None], axis=1)
+    squares = np.einsum("bcd,bcd->bc", ways, ways)
+    between = squares[:, :, None] + squares[:, None, :] - 2 * np.matmul(ways, ways.transpose(0, 2, 1))
     alive = cand >= 0
     out = np.full((len(centres), degree), -1, dtype=np.int64)
     rows = np.arange(len(centres))
@@ -115,9 +123,10 @@ def robust_prune(centres: np.ndarray, candidates: np.ndarray, points: np.ndarray
 def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(graph, start): neighbours of each point, -1 where fewer, and the points where searches begin.
 
-    ``points`` have equal lengths and are distinct.
+    ``points`` are distinct; nearness is their distance.
     """
     n = len(points)
+    half = (points * points).sum(axis=1) / 2
     rng = np.random.default_rng(seed)
     graph = np.full((n, degree), -1, dtype=np.int64)
     if n <= degree + 1:
@@ -125,12 +134,12 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
             graph[i, : n - 1] = np.delete(np.arange(n), i)
         return graph, np.arange(min(n, 1))
     graph[:, : degree // 2] = (np.arange(n)[:, None] + rng.integers(1, n, size=(n, degree // 2))) % n
-    middle = int(np.argmax(points @ points.mean(axis=0)))
+    middle = int(np.argmax(points @ points.mean(axis=0) - half))
     start = np.unique(np.concatenate([[middle], rng.integers(0, n, size=7)]))
     order = rng.permutation(n)
     for lo in range(0, n, BATCH):
         batch = order[lo : lo + BATCH]
-        ids, _, visited = beam_search(points[batch], points, graph, start, beam)
+        ids, _, visited = beam_search(points[batch], points, graph, start, beam, half)
         kept = robust_prune(batch, np.concatenate([ids, visited, graph[batch]], axis=1), points, degree, alpha)
         graph[batch] = kept
         _add_reverse(graph, points, batch, kept, degree, alpha)
@@ -155,11 +164,24 @@ def _add_reverse(graph: np.ndarray, points: np.ndarray, sources: np.ndarray, kep
         graph[heads[part]] = robust_prune(heads[part], np.concatenate([graph[heads[part]], new], axis=1), points, degree, alpha)
 
 
-def _same_length(vecs: np.ndarray, most: float) -> np.ndarray:
-    """The vectors, scaled by the longest length of all, with the coordinate that brings them to one."""
-    scaled = vecs / most
-    rest = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
-    return np.concatenate([scaled, rest[:, None]], axis=1).astype(np.float32)
+def length_bands(vecs: np.ndarray) -> np.ndarray:
+    """The band of each vector, 0 with the longest. Bands count from the longest, so vectors of about
+    one length share a band."""
+    top = np.abs(vecs).max(axis=1)
+    octave = np.log2(top) + np.log2(((vecs / top[:, None]) ** 2).sum(axis=1)) / 2
+    return np.floor((octave.max() - octave) / BAND_OCTAVES).astype(np.int64)
+
+
+def _same_length(vecs: np.ndarray) -> np.ndarray:
+    """The vectors, scaled alike, with the coordinate that brings them to the longest length of all.
+
+    The coordinate is given as what it lacks to that length, ``most - rest``, in a form without a
+    difference of close numbers: distances are the same, and small ones keep their digits.
+    """
+    scaled = vecs / np.abs(vecs).max()
+    square = (scaled * scaled).sum(axis=1)
+    rest = np.sqrt(square.max() - square)
+    return np.concatenate([scaled, (square / (np.sqrt(square.max()) + rest))[:, None]], axis=1)
 
 
 def valid_vectors(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -198,20 +220,19 @@ def nearest(
     copies = few.groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     points = good.groupBy("node").agg(F.min("id").alias("point"), F.first("vec").alias("vec"), F.max((F.col("id") % every == 0).cast("int")).alias("asked"))
     points = stage(points, "points")
-    square = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x)
-    sums = points.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("square"), F.sum("asked").alias("asked")).first()
-    most, n_shards = float(np.sqrt(sums["square"])), -(-sums["n"] // shard_points)
+    sums = points.agg(F.count(F.lit(1)).alias("n"), F.sum("asked").alias("asked")).first()
+    n_shards = -(-sums["n"] // shard_points)
     if not sums["asked"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dealt = points.withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(n_shards)).cast("int"))
-    index = stage(dealt.groupBy("shard").applyInPandas(_indexer(most), INDEX), "graphs")
+    index = stage(dealt.groupBy("shard").applyInPandas(_index, INDEX), "graphs")
 
     n_blocks = -(-sums["asked"] // QUERY_BLOCK)
     block = F.pmod(F.xxhash64(F.lit(5), "node"), F.lit(n_blocks)).cast("int")
     asked = points.where("asked = 1").select("node", "vec", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
     held = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<int>")))
     found = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
-        _searcher(most, k + 1, beam), "query string, node string, point long, score double"
+        _searcher(k + 1, beam), "query string, node string, point long, score double"
     )
     # A query has (k + 1) * shards rows here; the ids of better points come before those of others.
     best = top_k(stage(found, "found"), ["query"], [F.desc("score"), "point", "node"], k + 1, "nth", spread="node", at_most=k + 1)
@@ -224,42 +245,50 @@ def nearest(
     )
 
 
-def _indexer(most: float):
-    def index(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values("node", ignore_index=True)
-        graph, start = build_graph(_same_length(np.stack(shard["vec"]), most))
-        out = shard[["shard", "point", "node", "vec"]].copy()
+def _index(shard: pd.DataFrame) -> pd.DataFrame:
+    shard = shard.sort_values("node", ignore_index=True)
+    vecs = np.stack(shard["vec"])
+    bands = length_bands(vecs)
+    parts, before = [], 0
+    for band in np.unique(bands):
+        rows = np.flatnonzero(bands == band)
+        graph, start = build_graph(_same_length(vecs[rows]))
         # Points where searches begin stand first.
-        order = np.concatenate([start, np.setdiff1d(np.arange(len(shard)), start)])
+        order = np.concatenate([start, np.setdiff1d(np.arange(len(rows)), start)])
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
-        out = out.iloc[order]
+        out = shard[["shard", "point", "node", "vec"]].iloc[rows[order]].copy()
         out["edges"] = [place[e[e >= 0]].tolist() for e in graph[order]]
-        out["node"] = [f"{at:08d}{len(start):04d}{node}" for at, node in enumerate(out["node"])]
-        return out
-
-    return index
+        out["place"], out["band"], out["starts"] = before + np.arange(len(rows)), band, len(start)
+        parts.append(out)
+        before += len(rows)
+    return pd.concat(parts, ignore_index=True)
 
 
-def _searcher(most: float, k: int, beam: int):
+def _searcher(k: int, beam: int):
     def search(index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if index.empty or asked.empty:
             return pd.DataFrame({"query": [], "node": [], "point": [], "score": []}).astype({"query": str, "node": str, "point": "int64", "score": float})
-        # The place in the graph and the number of starts are in front of the name.
-        index = index.sort_values("node", ignore_index=True)
+        index = index.sort_values("place", ignore_index=True)
         vecs = np.stack(index["vec"])
-        points = _same_length(vecs, most)
-        graph = np.full((len(index), max(1, max(map(len, index["edges"])))), -1, dtype=np.int64)
-        for row, edges in enumerate(index["edges"]):
-            graph[row, : len(edges)] = edges
-        start = np.arange(int(index["node"][0][8:12]))
-        names, ids = index["node"].str[12:].to_numpy(), index["point"].to_numpy()
+        names, ids = index["node"].to_numpy(), index["point"].to_numpy()
+        graphs = []
+        for _, part in index.groupby("band"):
+            graph = np.full((len(part), max(1, max(map(len, part["edges"])))), -1, dtype=np.int64)
+            for row, edges in enumerate(part["edges"]):
+                graph[row, : len(edges)] = edges
+            first = part.index[0]
+            graphs.append((first, _same_length(vecs[first : first + len(part)]), graph, np.arange(part["starts"].iloc[0])))
         parts = []
         for lo in range(0, len(asked), BATCH):
             some = asked.iloc[lo : lo + BATCH]
             own = np.stack(some["vec"])
-            sought = np.concatenate([own / most, np.zeros((len(own), 1))], axis=1).astype(np.float32)
-            near, _, _ = beam_search(sought, points, graph, start, beam)
+            sought = np.concatenate([own / np.abs(own).max(axis=1, keepdims=True), np.zeros((len(own), 1))], axis=1)
+            near = []
+            for first, points, graph, start in graphs:
+                held, _, _ = beam_search(sought, points, graph, start, min(beam, len(points)))
+                near.append(np.where(held < 0, -1, held + first))
+            near = np.concatenate(near, axis=1)
             exact = np.einsum("qd,qrd->qr", own, vecs[near])
             exact[near < 0] = -np.inf
             order = np.lexsort((ids[near], -exact), axis=1)[:, :k]
