@@ -69,6 +69,19 @@ def test_pieces_of_pages(trees, inner, want):
     assert " ".join(main_text.extract([WRAP.format(inner)], trees)[0]) == "A day " + want
 
 
+@pytest.mark.parametrize("odd", ["</é>", "</é", "</ b>", "</>", "</1 a='>'", "<p data-gold=yes>", "<p data-gold=''>", "&#" + "9" * 5000 + ";", "&#" + "0" * 5000 + "65;"])
+def test_odd_pages_end_nothing(spark, trees, odd):
+    """A page that breaks the rules of HTML has a text like any other, and so has the page beside it."""
+    rows = [(1, "u", WRAP.format("The old town, it is said, was big." + odd), "x", "y"), (2, "u", WRAP.format("It is, as they say."), "x", "y"), (3, "u", odd, "x", "y")]
+    got = {r["page_id"]: r["text"] for r in main_text.main_text(spark.createDataFrame(rows, PAGES), trees=trees).collect()}
+    assert len(got) == 3 and got[2] == "A day It is, as they say."
+    assert got[1].startswith("A day The old town, it is said, was big.")
+
+
+def test_long_references():
+    assert main_text._unescape("a &#" + "0" * 5000 + "65; &#" + "9" * 5000 + "; &#" + "0" * 5000 + "; &#66") == "a A � � B"
+
+
 def test_labels_never_contradict(trees):
     """No text below what is foreign, whatever the odds."""
     rng = np.random.default_rng(2)

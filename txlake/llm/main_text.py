@@ -95,6 +95,8 @@ N_FEATURES = 2 * N_TAGS + 2 * N_TOKENS + len(FIGURES)
 _TAG = re.compile(r"</?([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
 _ATTR = re.compile(r"([^\s=/>\"']+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*)")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# What html.unescape cannot read: Python's int() takes no more than 4,300 digits.
+_LONG_REF = re.compile(r"&#([0-9]{4000,})")
 _SPACES = re.compile(r"[ \t\n\x0b\x0c\r\xa0]+")
 
 
@@ -109,17 +111,23 @@ class Page:
     runs: list[tuple[int, str]] = field(default_factory=list)
 
 
+def _unescape(piece: str) -> str:
+    # Eight digits are beyond all characters already.
+    return html.unescape(_LONG_REF.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), piece) if "&#" in piece else piece)
+
+
 def parse(source: str) -> Page:
     """Elements and text of a page. Takes any string: unknown end tags are passed over, open elements
-    end with the page, and an unfinished tag at the end is dropped."""
+    end with the page, an unfinished tag at the end is dropped, ``</`` before anything but an ASCII
+    letter begins a comment up to the next ``>``, and a ``data-gold`` other than 0 and 1 says nothing."""
     page, stack, at, n = Page(), [], 0, len(source)
 
     def text(piece: str) -> None:
         if piece and stack:
-            page.runs.append((stack[-1], html.unescape(piece)))
+            page.runs.append((stack[-1], _unescape(piece)))
         elif piece.strip():
             open_element("body", "")
-            page.runs.append((stack[-1], html.unescape(piece)))
+            page.runs.append((stack[-1], _unescape(piece)))
 
     def open_element(tag: str, attrs: str) -> None:
         found, gold = [], None
@@ -128,7 +136,7 @@ def parse(source: str) -> Page:
                 name, value = name.lower(), value.strip("\"'")
                 if name in ("class", "id", "role", "itemprop", "aria-label"):
                     found += [_GROUPS_OF_TOKEN[t] for t in map(str.lower, _TOKEN.findall(value)) if t in _GROUPS_OF_TOKEN]
-                elif name == "data-gold":
+                elif name == "data-gold" and value in ("0", "1"):
                     gold = int(value)
         page.tags.append(tag)
         page.parents.append(stack[-1] if stack else -1)
@@ -159,12 +167,13 @@ def parse(source: str) -> Page:
             text(source[at:])
             break
         after = source[lt + 1 : lt + 2]
-        if after == "!" or after == "?":
+        first = source[lt + 2 : lt + 3] if after == "/" else after
+        is_tag = first.isalpha() and first.isascii()
+        if after == "!" or after == "?" or after == "/" and first and not is_tag:
             text(source[at:lt])
             stop = source.find("-->", lt + 4) if source.startswith("<!--", lt) else source.find(">", lt)
             at = n if stop < 0 else stop + (3 if source.startswith("<!--", lt) else 1)
             continue
-        is_tag = after.isalpha() and after.isascii() or after == "/" and source[lt + 2 : lt + 3].isalpha()
         if not is_tag:
             text(source[at : lt + 1])
             at = lt + 1
