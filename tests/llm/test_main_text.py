@@ -82,6 +82,23 @@ def test_long_references():
     assert main_text._unescape("a &#" + "0" * 5000 + "65; &#" + "9" * 5000 + "; &#" + "0" * 5000 + "; &#66") == "a A � � B"
 
 
+@pytest.mark.parametrize("head", ["<title>x</title>", "<title>x</title><meta name=a>\n<script>a<b</script> <noscript><img src=a></noscript>\n", "<style>p{}</style><bgsound src=a>", ""])
+@pytest.mark.parametrize("body", ["<body>", "", "\n <body class=a>\n"])
+def test_head_without_end(trees, head, body):
+    """The end tag of a head may be left out."""
+    rest = body + WRAP.split("<body>")[1].format("They came, all of them.<p>They went, all of them.")
+    source = f"<html><head>{head}</head>{rest}"
+    left_out = source.replace("</head>", "")
+    want, got = main_text.parse(source), main_text.parse(left_out)
+    assert (got.tags, got.parents, [r for r in got.runs if r[1].strip()]) == (want.tags, want.parents, [r for r in want.runs if r[1].strip()])
+    assert main_text.extract([left_out], trees)[0] == main_text.extract([source], trees)[0] == ["A day", "They came, all of them.", "They went, all of them."]
+
+
+def test_head_ends_with_text():
+    page = main_text.parse("<html><head><title>x</title> Words, and more.<p>a")
+    assert [(page.tags[node], piece) for node, piece in page.runs if piece.strip()] == [("title", "x"), ("html", " Words, and more."), ("p", "a")]
+
+
 def test_labels_never_contradict(trees):
     """No text below what is foreign, whatever the odds."""
     rng = np.random.default_rng(2)

@@ -41,9 +41,10 @@ BATCH_NODES = 20_000
 ENTER, LEAVE = 2.0, 1.0
 
 # Element names of HTML.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed xmp".split())
 UNSEEN = frozenset("head title script style template iframe noembed textarea select option button svg math object noscript".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search "
@@ -118,11 +119,13 @@ def _unescape(piece: str) -> str:
 
 def parse(source: str) -> Page:
     """Elements and text of a page. Takes any string: unknown end tags are passed over, open elements
-    end with the page, an unfinished tag at the end is dropped, ``</`` before anything but an ASCII
+    end with the page, a head also with the first element or text that cannot stand in it, an unfinished tag at the end is dropped, ``</`` before anything but an ASCII
     letter begins a comment up to the next ``>``, and a ``data-gold`` other than 0 and 1 says nothing."""
     page, stack, at, n = Page(), [], 0, len(source)
 
     def text(piece: str) -> None:
+        if stack and page.tags[stack[-1]] == "head" and piece.strip():
+            close(len(stack) - 1)
         if piece and stack:
             page.runs.append((stack[-1], _unescape(piece)))
         elif piece.strip():
@@ -198,6 +201,11 @@ def parse(source: str) -> Page:
                 if tag not in BLOCK and open_tag in BLOCK:
                     break
             continue
+        # The end tag of a head may be missing: it ends with what cannot stand in it.
+        if tag == "body":
+            end_open(frozenset(["head"]), frozenset(["template"]))
+        elif stack and page.tags[stack[-1]] == "head" and tag not in IN_HEAD:
+            close(len(stack) - 1)
         if tag in CLOSES_P:
             end_open(frozenset(["p"]), SCOPE)
         if tag in ENDS:
