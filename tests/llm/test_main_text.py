@@ -99,6 +99,13 @@ def test_head_ends_with_text():
     assert [(page.tags[node], piece) for node, piece in page.runs if piece.strip()] == [("title", "x"), ("html", " Words, and more."), ("p", "a")]
 
 
+@pytest.mark.parametrize("n", [3, 199, 200, 5000])
+def test_share_of_like_siblings_is_exact(n):
+    page = main_text.parse("<div><h2>a</h2>" + "<p>b, c.</p>" * n + "</div>")
+    like = main_text.features(page)[:, 2 * main_text.N_TAGS + 2 * main_text.N_TOKENS + main_text.FIGURES.index("like_siblings")]
+    assert np.allclose(like[1:], [1 / (n + 1)] + [n / (n + 1)] * n) and like[0] == 1
+
+
 def test_labels_never_contradict(trees):
     """No text below what is foreign, whatever the odds."""
     rng = np.random.default_rng(2)

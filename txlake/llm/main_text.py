@@ -18,6 +18,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -275,6 +276,7 @@ def features(page: Page) -> np.ndarray:
             first.append(order[i])
         starts[i] = min(first) if first else passed
     total = max(1, seen)
+    alike = Counter(zip(parents, page.tags))
     base_tok, base_up = N_TAGS, 2 * N_TAGS + N_TOKENS
     for i in range(n):
         row, p = x[i], parents[i]
@@ -289,7 +291,7 @@ def features(page: Page) -> np.ndarray:
             row[N_TAGS + N_TOKENS : base_up] = np.maximum(up[N_TAGS + N_TOKENS : base_up], up[:N_TAGS])
             row[base_up : base_up + N_TOKENS] = up[base_up : base_up + N_TOKENS] + up[base_tok : base_tok + N_TOKENS]
         kin = children[p] if p >= 0 else [i]
-        like = sum(page.tags[k] == page.tags[i] for k in kin) if len(kin) <= 200 else len(kin)
+        like = alike[p, page.tags[i]] if p >= 0 else 1
         foreign = sum(marks[c] < 0 for c in children[i])
         row[base_up + N_TOKENS :] = (
             depth[i], math.log1p(len(kin)), (i - kin[0]) / max(1, kin[-1] - kin[0]), like / len(kin),
