@@ -58,6 +58,12 @@ def test_base_equals_brute_force(spark):
         ("pay to DE89 3704 0044 0532 0130 00 now", [("iban", 7, 34)]),
         ("pay to DE89 3704 0044 0532 0130 01 now", []),
         ("GB82WEST12345698765432", [("iban", 0, 22)]),
+        ("ES91 2100 0418 4502 0005 1332 BIC CAIXESBB", [("iban", 0, 29)]),
+        ("to PL61 1090 1014 0000 0712 1981 2874 USD", [("iban", 3, 37)]),
+        ("é BE68 5390 0754 7034 EUR 12, BE68539007547034 A", [("iban", 2, 21), ("iban", 30, 46)]),
+        ("NO93 8601 11 17947 NOK", [("iban", 0, 18)]),
+        ("code BE12 DE89 3704 0044 0532 0130 00", [("iban", 10, 37)]),
+        ("BE68 5390 0754 7034X", []),
         ("ssn 123-45-6789", [("ssn", 4, 15)]),
         ("part 123-45-6789", []),
         ("call (555) 123-4567 today", [("local_phone", 5, 19)]),
@@ -70,6 +76,24 @@ def test_more_kinds(spark, text, want):
     assert [(s["kind"], s["start"], s["end"]) for s in got["spans"]] == want
 
 
+def test_accounts_of_many_countries(spark):
+    """Examples of the registry, written together, in fours and before a word in capitals."""
+    accounts = (
+        "TR330006100519786457841326 SA0380000000608010167519 AE070331234567890123456 IL620108000000099999999 BR1800360305000010009795493C1 "
+        "PK36SCBL0000001123456702 AT611904300234573201 CY17002001280000001200527600 CZ6508000000192000145399 HU42117730161111101800000000 "
+        "SE4550000000058398257466 SK3112000000198742637541 RO49AAAA1B31007593840000 LC55HEMM000100010012001200023015 NO9386011117947 MT84MALT011000012345MTLCAST001S"
+    ).split()
+    rows = []
+    for a in accounts:
+        fours = " ".join(re.findall(".{1,4}", a))
+        rows += [(len(rows), t, None, None, None) for t in (a, fours, f"{fours} USD", f"{a} A1 {fours} BIC")]
+    want = {i: [m.span() for m in re.finditer("|".join(f"{a}|{' '.join(re.findall('.{1,4}', a))}" for a in accounts), r[1])] for i, r in enumerate(rows)}
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "iban"] for r in pii.find_personal_data(cases.frame(spark, rows)).collect()}
+    assert got == want
+    assert {len(v) for v in want.values()} == {1, 2}
+
+
 def test_context_moves_the_score(spark):
     rows = [(1, "card 4111111111111111", None, None, None), (2, "form 4111111111111111", None, None, None)]
     got = {r["doc_id"]: r["spans"][0]["score"] for r in pii.find_personal_data(cases.frame(spark, rows)).collect()}
@@ -84,5 +108,11 @@ def test_many_matches_and_long_runs(spark):
     assert got[2] == got[4] == []
 
 
+def test_many_heads_of_accounts(spark):
+    rows = [(1, "BE12 " * 20_000, None, None, None), (2, "DE89" * 25_000, None, None, None), (3, "BE68 5390 0754 7034 " * 5000, None, None, None)]
+    got = {r["doc_id"]: [s["start"] for s in r["spans"] if s["kind"] == "iban"] for r in pii.find_personal_data(cases.frame(spark, rows)).collect()}
+    assert got[2] == [] and got[3] == list(range(0, 100_000, 20))
+
+
 def test_empty_table(spark):
     assert pii.find_personal_data(cases.frame(spark, [])).count() == 0

@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 
 from txlake.llm.common import bind, column, fresh, text_of
 
-# IBAN lengths by country.
+# IBAN lengths of all registered countries.
 IBAN_LENGTHS = {
-    "AD": 24, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20,
-    "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26, "IT": 27,
-    "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25,
-    "RO": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27,
+    "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28,
+    "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23,
+    "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21,
+    "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22,
+    "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25,
+    "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
 }
 ACCEPTED = 0.5
 NEAR = 40
@@ -83,7 +88,10 @@ def _any(m: Column) -> Column:
 @dataclass(frozen=True)
 class Kind:
     """``needs``: a cheap pattern every text with a match fulfils; ``prior``: the score of a confirmed
-    match; ``context``: words before it that add ``gain``. Base kinds stay whatever their score."""
+    match; ``context``: words before it that add ``gain``. Base kinds stay whatever their score.
+
+    With ``head``, a pattern takes that many characters of the text and has the whole match, looked
+    ahead at, as its group: a match that is not confirmed then hides none that begins within it."""
 
     name: str
     pattern: str
@@ -93,6 +101,7 @@ class Kind:
     context: str = ""
     gain: float = 0.3
     base: bool = False
+    head: int = 0
 
 
 _LOCAL = "A-Za-z0-9._%+-"
@@ -104,8 +113,13 @@ BASE = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "[0-9]{2}|[0-9][ -][0-9]", _card, 0.8, "card|visa|credit|karte|carte|tarjeta", 0.2, True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", _phone, 0.7, "phone|tel|call|fax|mobile", 0.2, True),
 )
+# The number of characters follows from the country, so that a word after the account is not taken with it.
+_IBANS = "|".join(
+    rf"(?:{'|'.join(c for c, n in IBAN_LENGTHS.items() if n == length)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{length - 4}}}"
+    for length in sorted(set(IBAN_LENGTHS.values()))
+)
 MORE = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", _iban, 0.8, "iban|account|konto|compte|cuenta", 0.2),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=((?:{_IBANS})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}", "[A-Z]{2}[0-9]{2}", _iban, 0.8, "iban|account|konto|compte|cuenta", 0.2, head=4),
     Kind("ssn", r"(?<![0-9])(?<![0-9][ -])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![ -]?[0-9])", "[0-9]{3}-[0-9]{2}-", _any, 0.3, "ssn|social security", 0.4),
     Kind("local_phone", r"(?<![0-9+])(?<!\+[0-9]{1,3}[\x20.-])(?<![0-9][\x20-])(?:\([0-9]{3}\)|(?<!\()[0-9]{3})[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\x20-]?[0-9])", "[0-9]{3}[ .-][0-9]{4}", _any, 0.3, "phone|telephone|tel|call|fax|mobile", 0.3),
 )
@@ -125,16 +139,21 @@ def running_sums(lengths: Column) -> Column:
 
 def _located(text: Column, kind: Kind) -> Column:
     """All matches of a kind with their places, confirmed and scored."""
-    pattern = F.lit(f"({kind.pattern})")
+    pattern = F.lit(kind.pattern if kind.head else f"({kind.pattern})")
     found = F.regexp_extract_all(text, pattern, F.lit(1))
+
+    def taken(m: Column) -> Column:
+        return F.lit(kind.head) if kind.head else F.length(m)
+
     between = F.split(text, kind.pattern, -1)
-    steps = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda m, gap: F.length(m) + F.length(gap))
+    steps = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda m, gap: taken(m) + F.length(gap))
 
     def with_ends(pair: Column) -> Column:
         return F.transform(
             pair["found"],
             lambda m, i: F.struct(
-                m.alias("match"), (F.get(pair["ends"], i) - F.length(m)).alias("start"), F.get(pair["ends"], i).alias("end")
+                m.alias("match"), (F.get(pair["ends"], i) - taken(m)).alias("start"),
+                (F.get(pair["ends"], i) - taken(m) + F.length(m)).alias("end"),
             ),
         )
 
@@ -159,7 +178,8 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Places count code points, the end is exclusive. Spans come by kind (email, ip, card, phone, then
     iban, ssn, local_phone), then by place. The base kinds are leftmost matches that do not overlap,
-    less those whose check fails; iban needs its length and checksum; ssn and local_phone need a
+    less those whose check fails; iban needs its country's length, with at most one space between two
+    characters, and its checksum (two that overlap are both given); ssn and local_phone need a
     context word at most 40 characters before. Null and empty texts have none; repeated rows get the
     same spans each; if ``docs`` has columns of these names, the new ones end in an underscore.
     """
