@@ -86,6 +86,20 @@ def test_recall_beside_long_vectors(spark):
         assert found >= 0.95
 
 
+def test_every_number_of_components(spark):
+    """Each query meets the vectors of its own number of components; none is left out for being rarer."""
+    rng = np.random.default_rng(4)
+    vectors = [(i, rng.normal(size=(8, 5, 3)[i % 3]).astype(np.float32).tolist()) for i in range(240)] + [(1000, [1.0, 2.0])]
+    got = result(ann.nearest(make(spark, vectors), k=10, every=10, shard_points=100))
+    want = {}
+    for q, v in vectors:
+        near = sorted((-float(np.dot(np.array(v), np.array(w))), i) for i, w in vectors if i != q and len(w) == len(v))[:10]
+        if q % 10 == 0 and near:
+            want[q] = [i for _, i in near]
+    assert set(got) == set(want) and len(want) == 24
+    assert np.mean([len({i for i, _ in got[q]} & set(want[q])) / 10 for q in want]) >= 0.98
+
+
 def test_bands_and_added_coordinate():
     vecs = np.array([[1e4, 0.0], [1.0, 0.0], [0.6, 0.8], [2600.0, 0.0], [1e-200, 0.0]])
     bands = ann.length_bands(vecs)

@@ -11,6 +11,8 @@ then the nearest point and the largest product agree. That holds only among poin
 far longer one all others lie at one spot. So the points of a shard are parted by length into bands,
 each with a graph of its own, and a query searches every band of every shard.
 
+Vectors of another number of components have no product with a query: shards are dealt per number.
+
 Copies of a vector are one point, so a vector that a third of all rows hold is no obstacle in a graph;
 each point carries the smallest ids of its copies, no more than a result can show.
 """
@@ -36,7 +38,7 @@ BATCH = 512
 PRUNE_FROM = 96
 # The longest point of a band is less than 2 ** BAND_OCTAVES times as long as the shortest.
 BAND_OCTAVES = 2
-INDEX = "shard int, point long, node string, vec array<double>, edges array<int>, place int, band int, starts int"
+INDEX = "shard int, dim int, point long, node string, vec array<double>, edges array<int>, place int, band int, starts int"
 
 
 def beam_search(
@@ -204,16 +206,12 @@ def nearest(
 
     Nearness is the largest inner product in double precision; ties go to the smaller id; the query's
     own id is no candidate. Rows with a null id, a null or zero vector, or a null or non-finite
-    component take no part, nor do vectors whose length is not the one most rows have (the longer of
-    two that are as frequent). Rows that repeat id and vector count once; an id with several vectors
-    is a candidate with each of them. All rows are in the index. An empty table gives no rows.
+    component take no part. A query is compared with the vectors of its own number of components.
+    Rows that repeat id and vector count once; an id with several vectors is a candidate with each of
+    them. All rows are in the index. An empty table gives no rows.
     """
     spark = rows.sparkSession
     good = stage(valid_vectors(rows, id_col, vec_col), "vectors")
-    shape = good.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
-    if shape is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    good = good.where(F.size("vec") == shape["dim"])
     ids = good.select("node", "id").distinct()
     # The k + 1 smallest ids of each vector, in two rounds, so that no task sorts a hot one whole.
     few = top_k(ids, ["node"], ["id"], k + 1, "nth", spread="id", at_most=k + 1)
@@ -224,14 +222,14 @@ def nearest(
     n_shards = -(-sums["n"] // shard_points)
     if not sums["asked"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(n_shards)).cast("int"))
-    index = stage(dealt.groupBy("shard").applyInPandas(_index, INDEX), "graphs")
+    dealt = points.withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(n_shards)).cast("int")).withColumn("dim", F.size("vec"))
+    index = stage(dealt.groupBy("shard", "dim").applyInPandas(_index, INDEX), "graphs")
 
     n_blocks = -(-sums["asked"] // QUERY_BLOCK)
     block = F.pmod(F.xxhash64(F.lit(5), "node"), F.lit(n_blocks)).cast("int")
-    asked = points.where("asked = 1").select("node", "vec", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
+    asked = points.where("asked = 1").select("node", "vec", F.size("vec").alias("dim"), block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
     held = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<int>")))
-    found = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
+    found = held.groupBy("shard", "dim", "block").cogroup(asked.groupBy("shard", "dim", "block")).applyInPandas(
         _searcher(k + 1, beam), "query string, node string, point long, score double"
     )
     # A query has (k + 1) * shards rows here; the ids of better points come before those of others.
@@ -257,7 +255,7 @@ def _index(shard: pd.DataFrame) -> pd.DataFrame:
         order = np.concatenate([start, np.setdiff1d(np.arange(len(rows)), start)])
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
-        out = shard[["shard", "point", "node", "vec"]].iloc[rows[order]].copy()
+        out = shard[["shard", "dim", "point", "node", "vec"]].iloc[rows[order]].copy()
         out["edges"] = [place[e[e >= 0]].tolist() for e in graph[order]]
         out["place"], out["band"], out["starts"] = before + np.arange(len(rows)), band, len(start)
         parts.append(out)
