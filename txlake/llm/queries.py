@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import ann, line_dedup, main_text, mixing, pieces, pii, quality, simhash, token_counts, warc
+from txlake.llm import ann, byte_bpe, fill_middle, line_dedup, main_text, mixing, pieces, pii, quality, simhash, spelling, token_counts, warc
 from txlake.llm.common import bound_batches, table
 from txlake.session import staging_path
 
@@ -160,3 +160,94 @@ def op10_nearest(spark, sf_dir):
 def op9_main_text(spark, sf_dir):
     """The main text of every page."""
     return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op11_byte_bpe(spark, sf_dir):
+    """Number and hash of the ids of every text, and the hash of the text they decode to."""
+    vocabulary = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    bound_batches(spark)
+    both = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.round_trip(F.col("text"), vocabulary).alias("r"))
+    return both.select(
+        "doc_id", F.size("r.ids").cast("long").alias("n_tokens"), F.sha2(byte_bpe.decimal_ids(F.col("r.ids")), 256).alias("ids_sha256"),
+        F.sha2("r.text", 256).alias("decoded_sha256"),
+    )
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+  FROM documents
+), r AS (
+  SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM d
+), c AS (
+  SELECT doc_id, text, n, units, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM r
+), p AS (
+  SELECT doc_id, text, n, form, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p""")
+def op12_fill_in_middle(spark, sf_dir):
+    """Every text cut at two drawn line ends, and put together again from what came out."""
+    bound_batches(spark)
+    made = table(spark, sf_dir, "documents").select("doc_id", fill_middle.fill_in_middle(F.col("doc_id"), F.col("text")).alias("r"))
+    return made.select(
+        "doc_id", "r.n", "r.form", "r.prefix_chars", "r.middle_chars", F.sha2("r.output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(F.col("r.output"), F.col("r.form")), 256).alias("restored_sha256"),
+    )
+
+
+@query(r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+           CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents
+), seen AS (
+  SELECT id, run, count(*) AS times, hex(encode(id || ':' || run)) AS code FROM runs GROUP BY id, run
+), drawn AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+           list_transform(range(1, length(code), 2), lambda k: CAST('0x' || substr(code, k, 2) AS BIGINT)),
+           lambda c, byte: xor(c >> 8, t[1 + xor(c % 256, byte)]), 4294967295)) AS draw
+  FROM seen, tab
+), words AS (
+  SELECT CASE WHEN draw % 97 = 0 THEN substr(run, 1, draw % length(run)) || substr(run, 2 + draw % length(run)) ELSE run END AS word,
+         CAST(sum(times) AS BIGINT) AS n
+  FROM drawn GROUP BY 1 HAVING length(word) >= 5 AND sum(times) >= 3
+), less AS (
+  SELECT DISTINCT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)
+), longer AS (
+  SELECT DISTINCT l.word, l.n, w.word AS near, w.n AS near_n FROM less l JOIN words w ON l.rest = w.word
+), near AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+  UNION ALL SELECT * FROM longer UNION ALL SELECT near, near_n, word, n FROM longer
+), best AS (
+  SELECT word, n, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) = 1
+), formed AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * words.n THEN near END AS form,
+         CASE WHEN near_n >= 2 * words.n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON c.next = f.word
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL""")
+def op13_spelling_variants(spark, sf_dir):
+    """Words of all texts with their more frequent forms one edit away."""
+    return spelling.variant_groups(table(spark, sf_dir, "documents"), drop_every=97)
