@@ -39,6 +39,31 @@ def test_radius_random(spark, seed):
     assert reach(spark, customers, terminals, r) == want
 
 
+@pytest.mark.parametrize(("seed", "cell_pairs"), [(0, 50), (1, 1), (2, 300)])
+def test_radius_dense_cell(spark, seed, cell_pairs):
+    """Half of all places in one cell, others on the borders of cells of every level, some at one place."""
+    rng = random.Random(seed)
+
+    def point():
+        kind = rng.random()
+        if kind < 0.5:
+            return rng.uniform(0, 5), rng.uniform(0, 5)
+        if kind < 0.8:
+            return rng.choice([0.0, 5.0, 2.5, 1.25, -5.0, 0.625]), rng.choice([0.0, 5.0, 2.5, 3.75, -1.25])
+        return rng.uniform(-20, 20), rng.uniform(-20, 20)
+
+    customers = [(i, *point()) for i in range(250)] + [(900, None, 1.0), (901, -0.0, 0.0)]
+    terminals = [(i, *point()) for i in range(250)] + [(900, 1.0, None)]
+    c = spark.createDataFrame(customers, "customer_id long, x_location double, y_location double")
+    t = spark.createDataFrame(terminals, "terminal_id long, x_location double, y_location double")
+    got = [tuple(x) for x in radius.pairs_within_radius(c, t, 5.0, cell_pairs).collect()]
+    want = {
+        (i, k) for i, x, y in customers for k, a, b in terminals
+        if None not in (x, y, a, b) and math.sqrt((x - a) ** 2 + (y - b) ** 2) < 5.0
+    }
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_radius_has_no_pairing_of_all_rows(spark):
     c = spark.createDataFrame([(1, 0.0, 0.0)], "customer_id long, x_location double, y_location double")
     t = spark.createDataFrame([(1, 0.0, 0.0)], "terminal_id long, x_location double, y_location double")

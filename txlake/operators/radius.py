@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txlake.operators.skew import broadcast_if_small
+from txlake.session import stage
+
+
+CELL_PAIRS = 4_000_000
+MAX_LEVEL = 24
+
 
-def pairs_within_radius(customers: DataFrame, terminals: DataFrame, r: float) -> DataFrame:
+def pairs_within_radius(customers: DataFrame, terminals: DataFrame, r: float, cell_pairs: int = CELL_PAIRS) -> DataFrame:
     """(customer_id, terminal_id) of all pairs closer than ``r``.
 
-    Distinct places are paired first, without their ids: points are hashed to square cells of side
-    ``r``, and a terminal place is sent to its own and the eight surrounding cells, so the join is
-    on the cell and only then on the distance; AQE splits the partition of a dense cell. Ids come
-    last, so no row carries a list, however many ids a place has.
+    Distinct places are paired first, without their ids, so points at one place count once. Ids come
+    last, so no row carries a list, however many ids a place has. Points without a place have no pair.
     """
-    near = _near_places(_places(customers, "x", "y"), _places(terminals, "tx", "ty"), r)
+    near = _near_places(_places(customers, "x", "y"), _places(terminals, "tx", "ty"), r, cell_pairs)
     who = customers.select("customer_id", *_at("x_location", "y_location", "_cx", "_cy"))
     what = terminals.select("terminal_id", *_at("x_location", "y_location", "_sx", "_sy"))
     met = who.join(near, (F.col("_cx") == F.col("_x")) & (F.col("_cy") == F.col("_y")))
@@ -32,18 +39,60 @@ def _places(df: DataFrame, x: str, y: str) -> DataFrame:
     return placed.where(F.col(f"_{x}").isNotNull() & F.col(f"_{y}").isNotNull()).distinct()
 
 
-def _near_places(places: DataFrame, stops: DataFrame, r: float) -> DataFrame:
-    cell = lambda v: F.floor(F.col(v) / F.lit(float(r)))
-    places = places.select("_x", "_y", cell("_x").alias("_cellx"), cell("_y").alias("_celly"))
-    around = F.array(*[F.lit(d).cast("long") for d in (-1, 0, 1)])
-    spread = (
-        stops.select("*", cell("_tx").alias("_bx"), cell("_ty").alias("_by"))
-        .select("_tx", "_ty", "_by", F.explode(F.transform(around, lambda d: F.col("_bx") + d)).alias("_cellx"))
-        .select("_tx", "_ty", "_cellx", F.explode(F.transform(around, lambda d: F.col("_by") + d)).alias("_celly"))
-    )
-    dx, dy = F.col("_x") - F.col("_tx"), F.col("_y") - F.col("_ty")
-    near = places.join(spread, ["_cellx", "_celly"]).where(F.sqrt(dx * dx + dy * dy) < F.lit(float(r)))
-    return near.select("_x", "_y", "_tx", "_ty")
+def _in_reach(side: float, r: float) -> Column:
+    """Whether a terminal's place can be within ``r`` of some place of the cell; never wrongly no."""
+
+    def gap(v: str, cell: str) -> Column:
+        low = F.col(cell) * F.lit(side)
+        return F.greatest(low - F.col(v), F.col(v) - (low + F.lit(side)), F.lit(0.0))
+
+    dx, dy = gap("_tx", "_cellx"), gap("_ty", "_celly")
+    # Rounding of the borders must not lose a place on them.
+    return F.sqrt(dx * dx + dy * dy) <= F.lit(r + 1e-6 * side) + (F.abs("_tx") + F.abs("_ty")) * F.lit(1e-12)
+
+
+def _cells(df: DataFrame, x: str, y: str, side: float) -> DataFrame:
+    return df.withColumns({"_cellx": F.floor(F.col(x) / F.lit(side)), "_celly": F.floor(F.col(y) / F.lit(side))})
+
+
+def _exploded(stops: DataFrame, base: Callable[[Column], Column], offsets: tuple[int, ...]) -> DataFrame:
+    """Each stop once per cell at ``offsets`` from ``base`` of its cell's numbers."""
+    steps = F.array(*[F.lit(d).cast("long") for d in offsets])
+    around = lambda c: F.explode(F.transform(steps, lambda d: base(F.col(c)) + d))
+    wide = stops.select("_tx", "_ty", "_celly", around("_cellx").alias("_cellx"))
+    return wide.select("_tx", "_ty", "_cellx", around("_celly").alias("_celly"))
+
+
+def _near_places(places: DataFrame, stops: DataFrame, r: float, cell_pairs: int = CELL_PAIRS) -> DataFrame:
+    """Pairs (_x, _y, _tx, _ty) of distinct places closer than ``r``.
+
+    Places lie in square cells of side ``r``; a terminal's place is sent to its own cell and those of the
+    eight around it that it can reach, so the join is on the cell and only then on the distance. A cell
+    whose places times terminals exceed ``cell_pairs``, by an exact count, is divided into four, and so on
+    where most places are: a quadtree, deep only where it must be. A terminal goes on to those of the four
+    that it can reach. So no key of a join holds more than ``cell_pairs``, and the copies of a terminal are
+    few against its pairs: of a cell smaller than the radius, most places that it reaches are near.
+    """
+    r, cell = float(r), ["_cellx", "_celly"]
+    side, found = r, None
+    here = _cells(places.select("_x", "_y"), "_x", "_y", side)
+    there = _exploded(_cells(stops.select("_tx", "_ty"), "_tx", "_ty", side), lambda c: c, (-1, 0, 1)).where(_in_reach(side, r))
+    for level in range(MAX_LEVEL + 1):
+        dense = None
+        if level < MAX_LEVEL:
+            here, there = stage(here, "radius-places"), stage(there, "radius-stops")
+            n_here, n_there = here.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")), there.groupBy(*cell).agg(F.count(F.lit(1)).alias("_m"))
+            dense = broadcast_if_small(n_here.join(n_there, cell).where(F.col("_n") * F.col("_m") > cell_pairs).where("_n > 1").select(*cell))
+            dense = dense if dense.take(1) else None
+        light = (here, there) if dense is None else (here.join(dense, cell, "left_anti"), there.join(dense, cell, "left_anti"))
+        dx, dy = F.col("_x") - F.col("_tx"), F.col("_y") - F.col("_ty")
+        near = light[0].join(light[1], cell).where(F.sqrt(dx * dx + dy * dy) < F.lit(r)).select("_x", "_y", "_tx", "_ty")
+        found = near if found is None else found.unionByName(near)
+        if dense is None:
+            return found
+        side /= 2
+        here = _cells(here.join(dense, cell, "left_semi").select("_x", "_y"), "_x", "_y", side)
+        there = _exploded(there.join(dense, cell, "left_semi"), lambda c: c * 2, (0, 1)).where(_in_reach(side, r))
 
 
 def within_radius(customers: DataFrame, terminals: DataFrame, r: float) -> DataFrame:

@@ -196,37 +196,53 @@ def calendar_features_on(
     return spread.where(held).groupBy("customer_id", "dt").agg(*aggs).select(*columns)
 
 
-def validity(customer_features: DataFrame) -> DataFrame:
-    """Dated feature rows with the half-open span of days ``[_from, _to)`` they apply to.
-
-    A row dated ``d`` serves the days after ``d`` until the next row's date has passed. The window
-    spans one customer's snapshots, at most one per calendar day.
+def known_before(days: DataFrame, customer_features: DataFrame) -> DataFrame:
+    """(customer_id, day, features): for each distinct row (customer_id, day) the customer's latest snapshot
+    dated before the day; rows without one are left out.
+
+    A merge of both sides: snapshots and days of a customer come in one order, and each day takes over
+    what the last snapshot before it carried along. A customer has as many rows as days and snapshots,
+    however many transactions, and no day meets more than one snapshot. Snapshots are at most one per
+    customer and date.
     """
-    nxt = F.lead("dt").over(Window.partitionBy("customer_id").orderBy("dt"))
-    return customer_features.select(
-        F.col("customer_id").alias("_cid"),
-        *CUSTOMER_FEATURES,
-        F.date_add("dt", 1).alias("_from"),
-        F.coalesce(F.date_add(nxt, 1), F.lit(dt.date(9999, 12, 31))).alias("_to"),
+    values = F.struct(*CUSTOMER_FEATURES)
+    given = customer_features.where(F.col("dt").isNotNull()).select(
+        "customer_id", F.date_add("dt", 1).alias("day"), F.lit(False).alias("asks"), values.alias("carried")
+    )
+    asked = days.select("customer_id", "day", F.lit(True).alias("asks"), F.lit(None).cast(given.schema["carried"].dataType).alias("carried"))
+    both = given.unionByName(asked).where(F.col("customer_id").isNotNull() & F.col("day").isNotNull())
+    so_far = Window.partitionBy("customer_id").orderBy("day", "asks").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("carried", F.last("carried", ignorenulls=True).over(so_far))
+    return found.where(F.col("asks") & F.col("carried").isNotNull()).select("customer_id", "day", "carried.*")
+
+
+def version_before(day: Column, dates: list[dt.date]) -> Column:
+    """The latest of the sorted ``dates`` before ``day``, null if there is none: looked up by the day's number."""
+    if not dates:
+        return F.lit(None).cast("date")
+    by_day: list[dt.date] = []
+    for earlier, later in zip(dates, [*dates[1:], dates[-1] + dt.timedelta(days=1)]):
+        by_day += [earlier] * (later - earlier).days
+    # Day 0 is the day after the first date.
+    number = F.date_diff(day, F.lit(dates[0])) - 1
+    return F.get(F.lit(by_day), F.when(number >= 0, F.least(number, F.lit(len(by_day) - 1))))
+
+
+def states(customer_features: DataFrame, dates: list[dt.date]) -> DataFrame:
+    """(customer_id, day, features) for each of ``dates``: what is known of every customer at its end."""
+    customers = customer_features.select("customer_id").distinct()
+    asked = customers.select("customer_id", F.explode(F.lit([d + dt.timedelta(days=1) for d in dates])).alias("day"))
+    return known_before(asked, customer_features).withColumn("day", F.date_add("day", -1))
+
+
+def with_features(tx: DataFrame, at: Column, customers: DataFrame, terminals: DataFrame) -> DataFrame:
+    """Transactions with flags, the features of rows (customer_id, day) of ``customers`` whose ``day`` is
+    ``at``, and those of their terminal. See :func:`enrich` for what is missing."""
+    known = customers.select(F.col("customer_id").alias("_cid"), F.col("day").alias("_day"), *CUSTOMER_FEATURES)
+    terms = terminals.select(F.col("terminal_id").alias("_tid"), *TERMINAL_FEATURES)
+    joined = tx.join(known, (F.col("customer_id") == F.col("_cid")) & (at == F.col("_day")), "left").join(
+        terms, F.col("terminal_id") == F.col("_tid"), "left"
     )
-
-
-def enrich(tx: DataFrame, customer_features: DataFrame, terminal_features: DataFrame) -> DataFrame:
-    """Transactions with flags and the feature rows known before their day.
-
-    ``tx`` may be a stream. Each transaction meets at most one customer row, however many
-    snapshots exist. Missing features become 0 and are marked in ``features_missing`` (1 customer,
-    2 terminal, 3 both). The feature sides are broadcast only if Spark finds them under its size
-    threshold; otherwise these are shuffle joins, split by AQE where a key is hot.
-    """
-    dated = validity(customer_features)
-    terms = terminal_features.select(F.col("terminal_id").alias("_tid"), *TERMINAL_FEATURES)
-    day = F.to_date("tx_datetime")
-    joined = tx.join(
-        dated,
-        (F.col("customer_id") == F.col("_cid")) & (day >= F.col("_from")) & (day < F.col("_to")),
-        "left",
-    ).join(terms, F.col("terminal_id") == F.col("_tid"), "left")
     filled = [
         F.coalesce(F.col(c), F.lit(0).cast("long" if "nb_tx" in c else "double")).alias(c)
         for c in [*CUSTOMER_FEATURES, *TERMINAL_FEATURES]
@@ -239,3 +255,22 @@ def enrich(tx: DataFrame, customer_features: DataFrame, terminal_features: DataF
         *filled,
         missing.alias("features_missing"),
     )
+
+
+def enrich(tx: DataFrame, customer_features: DataFrame, terminal_features: DataFrame) -> DataFrame:
+    """Transactions with flags and the feature rows known before their day.
+
+    ``tx`` may be a stream. Each transaction meets at most one customer row, however many
+    snapshots exist: all joins are on equal keys, customer and day, and the day's snapshot is found
+    once per customer and day, not per transaction. Missing features become 0 and are marked in
+    ``features_missing`` (1 customer, 2 terminal, 3 both). The feature sides are broadcast only if Spark
+    finds them under its size threshold; otherwise these are shuffle joins, split by AQE where a key
+    is hot. A stream cannot ask for its days beforehand: it meets the state of each snapshot date, whose
+    dates (one per calendar day at most) the driver knows.
+    """
+    day = F.to_date("tx_datetime")
+    if tx.isStreaming:
+        dates = [r[0] for r in customer_features.where("dt IS NOT NULL").select("dt").distinct().orderBy("dt").collect()]
+        return with_features(tx, version_before(day, dates), states(customer_features, dates), terminal_features)
+    asked = tx.select("customer_id", day.alias("day")).distinct()
+    return with_features(tx, day, known_before(asked, customer_features), terminal_features)

@@ -20,6 +20,7 @@ from txlake.plans.features import feature_frame, with_flags
 from txlake.schemas import CUSTOMER_FEATURES, FEATURES, TERMINAL_FEATURES
 from txlake.session import stage, staging_path
 from txlake.sources import files, tables, topics
+from txlake.sources.feature_store import FeatureStore
 from txlake.streaming import ingest, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -513,8 +514,7 @@ SNAPSHOT_DATES = (8, 15, 22)
 
 def _serving_features(spark, sf_dir):
     tx = v.transactions(spark, sf_dir)
-    parts = [snapshots.calendar_features(tx, dt.date(2024, 1, d)) for d in SNAPSHOT_DATES]
-    cust = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    cust = snapshots.calendar_features_on(tx, [(dt.date(2024, 1, d), 1) for d in SNAPSHOT_DATES])
     risk = terminal_risk_features(tx.select("tx_id", "terminal_id", "tx_datetime", "tx_fraud"))
     term = snapshots.latest_features(
         risk, "terminal_id", TERMINAL_FEATURES, dt.date(2024, 1, 15)
@@ -550,6 +550,17 @@ def enrich_transactions(spark, sf_dir):
     return snapshots.enrich(tx, cust, term).select(*ENRICHED)
 
 
+def _feature_store(spark, sf_dir, base):
+    """The transactions, and a store with one version per snapshot date."""
+    tx, cust, term = _serving_features(spark, sf_dir)
+    cust, term = stage(cust, "feature-customer"), stage(term, "feature-terminal")
+    store = FeatureStore(spark, f"{base}/features")
+    for d in SNAPSHOT_DATES:
+        date = dt.date(2024, 1, d)
+        store.publish(date, cust.where(F.col("dt") == date), term)
+    return tx, store, cust, term
+
+
 def _transaction_stream(spark, tx, base):
     tx.repartition(4, "tx_id").write.parquet(f"{base}/transactions")
     return scoring.stream_table(spark, f"{base}/transactions", tx.schema, max_files=2)
@@ -559,10 +570,25 @@ def _transaction_stream(spark, tx, base):
 def stream_enrich(spark, sf_dir):
     """The same enrichment with the transactions arriving as a stream."""
     base = staging_path(spark, "enrich")
+    tx, store, _, _ = _feature_store(spark, sf_dir, base)
+    scoring.start_scoring(
+        _transaction_stream(spark, tx, base), store, None, f"{base}/out", f"{base}/offsets", interval=None
+    ).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(*ENRICHED)
+
+
+@query(ENRICH_SQL)
+def stream_append(spark, sf_dir):
+    """The same enrichment as one append stream, triggered every second until all is read."""
+    base = staging_path(spark, "append")
     tx, cust, term = _serving_features(spark, sf_dir)
     cust, term = stage(cust, "feature-customer"), stage(term, "feature-terminal")
     rows = snapshots.enrich(_transaction_stream(spark, tx, base), cust, term)
-    scoring.start_append(rows, f"{base}/out", f"{base}/offsets", interval=None).awaitTermination()
+    running = scoring.start_append(rows, f"{base}/out", f"{base}/offsets", interval="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
     return spark.read.parquet(f"{base}/out").select(*ENRICHED)
 
 
@@ -707,6 +733,19 @@ def within_radius(spark, sf_dir):
     )
 
 
+@query(
+    v.with_(
+        v.CUSTOMERS, v.TERMINALS,
+        body=f"""SELECT c.customer_id, t.terminal_id FROM customers c JOIN terminals t
+                 ON sqrt((c.x_location - t.x_location) * (c.x_location - t.x_location)
+                   + (c.y_location - t.y_location) * (c.y_location - t.y_location)) < {RADIUS}""",
+    )
+)
+def pairs_within_radius(spark, sf_dir):
+    """One row per customer and terminal in reach."""
+    return radius.pairs_within_radius(v.customers(spark, sf_dir), v.terminals(spark, sf_dir), RADIUS)
+
+
 def _labelled(spark, sf_dir):
     tx = v.transactions(spark, sf_dir).drop("tx_fraud")
     return labels.label_scenarios(
@@ -1074,10 +1113,9 @@ def _load_serving_model():
 def stream_score_foreign_model(spark, sf_dir):
     """Stream, enrichment and a fixed Python model end to end."""
     base = staging_path(spark, "score")
-    tx, cust, term = _serving_features(spark, sf_dir)
-    cust, term = stage(cust, "feature-customer"), stage(term, "feature-terminal")
+    tx, store, _, _ = _feature_store(spark, sf_dir, base)
     scoring.start_scoring(
-        _transaction_stream(spark, tx, base), lambda: (cust, term),
+        _transaction_stream(spark, tx, base), store,
         lambda rows: models.score_with(rows, _load_serving_model, list(SERVED)),
         f"{base}/out", f"{base}/offsets", interval=None,
     ).awaitTermination()
@@ -1096,10 +1134,9 @@ def stream_score(spark, sf_dir):
     logistic = models.classifiers()["logistic_regression"]
     fitted = models.fit(logistic, train)
     models.save(fitted, f"{base}/model")
-    tx, cust, term = _serving_features(spark, sf_dir)
-    cust, term = stage(cust, "feature-customer"), stage(term, "feature-terminal")
+    tx, store, cust, term = _feature_store(spark, sf_dir, base)
     scoring.start_scoring(
-        _transaction_stream(spark, tx, base), lambda: (cust, term), models.load(f"{base}/model"),
+        _transaction_stream(spark, tx, base), store, models.load(f"{base}/model"),
         f"{base}/out", f"{base}/offsets", interval=None,
     ).awaitTermination()
     batch = scoring.scored(tx, cust, term, fitted).select("tx_id", F.col("prediction").alias("batch_prediction"))

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from txlake.operators.models import score
 from txlake.operators.snapshots import enrich
 from txlake.session import refuse_new_checkpoint
+from txlake.sources.feature_store import FeatureStore
 
 INTERVAL = "10 seconds"
 
@@ -35,8 +36,13 @@ def scored(
     model: Model,
 ) -> DataFrame:
     """Enrich and score; the same call serves batch and stream."""
-    rows = enrich(tx, customer_features, terminal_features)
+    return _score(enrich(tx, customer_features, terminal_features), model)
+
+
+def _score(rows: DataFrame, model: Model | None) -> DataFrame:
     rows = rows.withColumn("processed_at", F.current_timestamp())
+    if model is None:
+        return rows
     return score(model, rows) if isinstance(model, PipelineModel) else model(rows)
 
 
@@ -65,16 +71,18 @@ def _of_batch(features: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 
 def start_scoring(
-    tx: DataFrame, read_features: Callable[[], tuple[DataFrame, DataFrame]],
-    model: Model, path: str, checkpoint: str, interval: str | None = INTERVAL,
+    tx: DataFrame, features: FeatureStore | Callable[[], tuple[DataFrame, DataFrame]],
+    model: Model | None, path: str, checkpoint: str, interval: str | None = INTERVAL,
 ) -> StreamingQuery:
-    """Score each micro-batch with the feature tables as they are at that moment.
-
-    ``read_features`` returns the customer and terminal features and is called per batch, so new
-    snapshots are used without a restart. The feature tables, large next to a batch, are reduced
-    to its entities before the joins and never shuffled for it. A batch writes its own ``epoch``
-    folder and replaces it if it is run again, so each row is kept once. A folder that another
-    checkpoint has filled is refused, since epochs begin at 0 with each checkpoint.
+    """Score each micro-batch with the features as they are at that moment; without a model, only
+    enrich it.
+
+    From a store only the partitions that a batch's days need are read. A function returns the customer
+    and terminal features and is called per batch; these are read whole. Either way new snapshots are
+    used without a restart, and the features, large next to a batch, are reduced to its entities before
+    the joins and never shuffled for it. A batch writes its own ``epoch`` folder and replaces it if it
+    is run again, so each row is kept once. A folder that another checkpoint has filled is refused, since
+    epochs begin at 0 with each checkpoint.
     """
     refuse_new_checkpoint(tx.sparkSession, path, checkpoint)
 
@@ -83,13 +91,16 @@ def start_scoring(
         try:
             if not batch.count():
                 return
-            customers, terminals = read_features()
-            rows = scored(
-                batch,
-                _of_batch(customers, batch, "customer_id"),
-                _of_batch(terminals, batch, "terminal_id"),
-                model,
-            )
+            if isinstance(features, FeatureStore):
+                rows = _score(features.enrich(batch), model)
+            else:
+                customers, terminals = features()
+                rows = scored(
+                    batch,
+                    _of_batch(customers, batch, "customer_id"),
+                    _of_batch(terminals, batch, "terminal_id"),
+                    model,
+                )
             rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
         finally:
             batch.unpersist()
