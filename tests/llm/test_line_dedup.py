@@ -1,3 +1,4 @@
+import time
 from collections import defaultdict
 
 import cases
@@ -40,6 +41,16 @@ def test_other_columns_stay(spark):
     assert sorted((tuple(r) for r in got.select("doc_id", "text", "n_lines_", "n_dropped_").collect()), key=repr) == expected(rows)
 
 
+def test_very_many_lines(spark):
+    """200,000 lines, of which some go: the text is split once, not once per line."""
+    lines = [f"a line of its own, number {k}" for k in range(200_000)]
+    rows = [(1, "a line that both of them hold\nx", None, None, None), (2, "\n".join([*lines, "a line that both of them hold", "end"]), None, None, None)]
+    began = time.monotonic()
+    got = {r["doc_id"]: r for r in drop_repeated_lines(cases.frame(spark, rows)).collect()}
+    assert got[2]["text"] == "\n".join([*lines, "end"]) and got[2]["n_dropped"] == 1
+    assert time.monotonic() - began < 60
+
+
 def test_empty_table(spark):
     assert drop_repeated_lines(cases.frame(spark, [])).count() == 0
 

@@ -1,8 +1,11 @@
 import html
 import random
 import re
+import time
+from difflib import SequenceMatcher
 
 import duckdb
+import layouts
 import numpy as np
 import pytest
 from conftest import SF_DIR
@@ -19,7 +22,7 @@ def sources():
 
 @pytest.fixture(scope="module")
 def trees(spark, sources):
-    return main_text.train(spark, sources[:50], 400)
+    return main_text.fit(spark, [main_text.sentences(s) for s in sources[:50]], 400)
 
 
 def article(source):
@@ -34,8 +37,8 @@ def test_given_pages(sources, trees):
     assert sum(a == article(b) for a, b in zip(got, sources)) >= 0.98 * len(sources)
 
 
-def test_other_layouts(sources, trees):
-    """Held-out pages: most have exactly the text of their marked parts."""
+def test_generated_layouts(sources, trees):
+    """Held-out pages of the generator that also makes the training pages: most are exact."""
     pool = [html.escape(s) for s in re.findall(r"[^.]+\.", article(sources[-1])) if len(s) < 300]
     rng = random.Random(77)
     exact = 0
@@ -49,6 +52,18 @@ def test_other_layouts(sources, trees):
     assert exact >= 85
 
 
+def test_layouts_by_hand(trees):
+    """Of ten layouts that share no template with the training pages, at least seven are exact, and all
+    have most of their words right."""
+    exact, shares = 0, []
+    for source, want in layouts.PAGES:
+        got = " ".join(main_text.extract([source], trees)[0])
+        exact += got == want
+        shares.append(SequenceMatcher(None, got.split(), want.split(), autojunk=False).ratio())
+    print(exact, shares)
+    assert exact >= 7 and min(shares) > 0.6
+
+
 WRAP = "<html><body><nav><a href=/>Home</a> <a href=/b>All news</a></nav><article><h1>A day</h1><p>{}</p></article><footer>&copy; me</footer></body></html>"
 
 
@@ -106,6 +121,42 @@ def test_share_of_like_siblings_is_exact(n):
     assert np.allclose(like[1:], [1 / (n + 1)] + [n / (n + 1)] * n) and like[0] == 1
 
 
+@pytest.mark.parametrize("n", [1, 2, 4, 300])
+def test_place_among_siblings(n):
+    """From 0 for the first child to 1 for the last, in document order."""
+    page = main_text.parse("<div>" + "<p>a, b.</p>" * n + "</div>")
+    place = main_text.features(page)[:, 2 * main_text.N_TAGS + 2 * main_text.N_TOKENS + main_text.FIGURES.index("place")]
+    assert np.allclose(place[1:], [k / max(1, n - 1) for k in range(n)])
+
+
+def test_time_follows_length():
+    """Twice as many nested, unmatched tags take about twice as long."""
+
+    def seconds(n):
+        begin = time.perf_counter()
+        for source in ("<b>" * n + "</i>" * n, "<b>" * n + "<p>x" * (n // 4), "<div>" * n + "</p>" * n, "<li><b>" * n):
+            main_text.extract([source], NO_TREES)
+        return time.perf_counter() - begin
+
+    seconds(1000)
+    assert seconds(40_000) < 4 * seconds(20_000)
+
+
+NO_TREES = main_text.Trees(np.zeros(1), *(np.zeros((1, 1), dtype=k) for k in (int, np.float32, int, int, float)))
+
+
+def test_sample_does_not_depend_on_files(spark, sources):
+    rows = [(i, "u", s, None, None) for i, s in enumerate(sources)] + [(7, "u", "<p>Another page of the same id.", None, None), (None, None, None, None, None)]
+    rng = random.Random(4)
+    want = None
+    for n in (1, 3, 7):
+        rng.shuffle(rows)
+        found = main_text.sampled_sentences(spark.createDataFrame(rows, PAGES).repartition(n), "page_id", "html")
+        want = want or found
+        assert found == want and len(found) == main_text.SAMPLE_PAGES
+        assert max(map(len, found)) <= main_text.PAGE_SENTENCES
+
+
 def test_labels_never_contradict(trees):
     """No text below what is foreign, whatever the odds."""
     rng = np.random.default_rng(2)
@@ -163,7 +214,7 @@ def test_printed_trees_are_the_model(spark, sources):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    x, y = main_text.training_rows(sources[:5], 30)
+    x, y = main_text.training_rows([main_text.sentences(s) for s in sources[:5]], 30)
     df = spark.createDataFrame([(r.astype(float).tolist(), float(v)) for r, v in zip(x, y)], "a array<double>, label double").select(array_to_vector("a").alias("features"), "label")
     model = GBTClassifier(maxIter=4, maxDepth=main_text.DEPTH, seed=1).fit(df)
     raw = [r[0][1] for r in model.transform(df).select(vector_to_array("rawPrediction")).collect()]

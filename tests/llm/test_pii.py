@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import cases
 import pytest
@@ -108,6 +109,31 @@ def test_many_matches_and_long_runs(spark):
     assert got[2] == got[4] == []
 
 
+def test_context_from_every_place(spark):
+    """Context words at every distance, over borders of strides, after other matches and characters of two units."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        filler = "".join(rng.choice(["x ", "é", "\U0001f600", "call ", " ssn", "12.5 ", "\n"]) for _ in range(rng.randint(0, 60)))
+        rows.append((i, f"{filler} tel{' ' * rng.randint(1, 50)}555 123 4567 {filler}123-45-6789", None, None, None))
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(cases.frame(spark, rows)).collect()}
+    words = {"ssn": r"\b(?:ssn|social security)\b", "local_phone": r"\b(?:phone|telephone|tel|call|fax|mobile)\b"}
+    for i, text, *_ in rows:
+        spans = [s for s in got[i] if s["kind"] in words]
+        assert all(re.search(words[s["kind"]], text[max(0, s["start"] - pii.NEAR) : s["start"]].lower(), re.A) for s in spans)
+        (phone,) = [m.start() for m in re.finditer("555 123 4567", text)]
+        near = bool(re.search(words["local_phone"], text[max(0, phone - pii.NEAR) : phone].lower(), re.A))
+        assert near == any(s["start"] == phone for s in spans)
+
+
+def test_two_hundred_thousand_matches(spark):
+    began = time.monotonic()
+    rows = [(1, "a@b.cc " * 200_000, None, None, None), (2, "tel 555 123 4567, " * 50_000, None, None, None)]
+    got = {r["doc_id"]: r["n"] for r in pii.find_personal_data(cases.frame(spark, rows)).selectExpr("doc_id", "size(spans) n").collect()}
+    assert got == {1: 200_000, 2: 50_000}
+    assert time.monotonic() - began < 100
+
+
 def test_many_heads_of_accounts(spark):
     rows = [(1, "BE12 " * 20_000, None, None, None), (2, "DE89" * 25_000, None, None, None), (3, "BE68 5390 0754 7034 " * 5000, None, None, None)]
     got = {r["doc_id"]: [s["start"] for s in r["spans"] if s["kind"] == "iban"] for r in pii.find_personal_data(cases.frame(spark, rows)).collect()}

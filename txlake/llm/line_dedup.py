@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import SPACE_CHARS, ascii_lower, column, fresh, text_of
+from txlake.llm.common import SPACE_CHARS, ascii_lower, bind, column, fresh, text_of
 from txlake.session import stage
 
 
@@ -34,7 +34,8 @@ def drop_repeated_lines(
     one holder: either both keep a line or both lose it (each different text of an id counts as a
     document). Null ids are one holder that comes after all ids. All other columns and repeated rows
     stay as they are; if ``docs`` has columns named ``n_lines`` or ``n_dropped``, the new ones end in
-    an underscore. An empty table gives an empty one.
+    an underscore. An empty table gives an empty one. A very long text takes time in proportion to its
+    length; its lines and positions are held by one task.
     """
     n_lines, n_dropped, rid, rtext, rhash = fresh(docs, "n_lines", "n_dropped", "ld_id", "ld_text", "ld_hash")
     text = text_of(column(docs, text_col))
@@ -73,10 +74,13 @@ def drop_repeated_lines(
         "left",
     )
     positions = F.coalesce(dropped[rtext], F.array().cast("array<int>"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), positions)
-    kept = F.when(
-        F.size(positions) == 0, text
-    ).otherwise(F.array_join(F.transform(stay, lambda p: F.get(lines, p)), "\n"))
+
+    def without(all_lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), positions)
+        return F.array_join(F.transform(stay, lambda p: F.get(all_lines, p)), "\n")
+
+    # Bound, so that a text is split once and not once per line that stays.
+    kept = F.when(F.size(positions) == 0, text).otherwise(bind(lines, without))
     return marked.select(
         *[kept.alias(c) if c == text_col else column(docs, c) for c in docs.columns],
         F.size(lines).cast("long").alias(n_lines), F.size(positions).cast("long").alias(n_dropped),

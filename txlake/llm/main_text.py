@@ -19,7 +19,7 @@ import math
 import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from txlake.llm.common import bound_batches, column, text_of
 
 SAMPLE_PAGES = 100
+PAGE_SENTENCES = 200
 TRAIN_PAGES = 800
 TREES = 16
 DEPTH = 5
@@ -123,6 +124,12 @@ def parse(source: str) -> Page:
     end with the page, a head also with the first element or text that cannot stand in it, an unfinished tag at the end is dropped, ``</`` before anything but an ASCII
     letter begins a comment up to the next ``>``, and a ``data-gold`` other than 0 and 1 says nothing."""
     page, stack, at, n = Page(), [], 0, len(source)
+    # Depths of the open elements of each name, and of the open blocks: nothing walks the stack.
+    depths: dict[str, list[int]] = {}
+    block_depths: list[int] = []
+
+    def nearest(kinds: Iterable[str]) -> int:
+        return max((depths[k][-1] for k in kinds if depths.get(k)), default=-1)
 
     def text(piece: str) -> None:
         if stack and page.tags[stack[-1]] == "head" and piece.strip():
@@ -149,21 +156,24 @@ def parse(source: str) -> Page:
         if tag in BLOCK:
             page.runs.append((-1, ""))
         if tag not in VOID:
+            depths.setdefault(tag, []).append(len(stack))
+            if tag in BLOCK:
+                block_depths.append(len(stack))
             stack.append(len(page.tags) - 1)
 
     def close(depth: int) -> None:
-        if any(page.tags[i] in BLOCK for i in stack[depth:]):
+        if block_depths and block_depths[-1] >= depth:
             page.runs.append((-1, ""))
-        del stack[depth:]
+        while len(stack) > depth:
+            tag = page.tags[stack.pop()]
+            depths[tag].pop()
+            if tag in BLOCK:
+                block_depths.pop()
 
     def end_open(kinds: frozenset, bounds: frozenset) -> None:
-        for depth in range(len(stack) - 1, -1, -1):
-            tag = page.tags[stack[depth]]
-            if tag in kinds:
-                close(depth)
-                return
-            if tag in bounds:
-                return
+        depth = nearest(kinds)
+        if depth > nearest(bounds):
+            close(depth)
 
     while at < n:
         lt = source.find("<", at)
@@ -194,13 +204,10 @@ def parse(source: str) -> Page:
             at = m.end()
         tag, attrs = m[1].lower(), m[2]
         if after == "/":
-            for depth in range(len(stack) - 1, -1, -1):
-                open_tag = page.tags[stack[depth]]
-                if open_tag == tag:
-                    close(depth)
-                    break
-                if tag not in BLOCK and open_tag in BLOCK:
-                    break
+            depth = nearest([tag])
+            # An inline element cannot be ended from within a block that it holds.
+            if depth >= 0 and (tag in BLOCK or not block_depths or depth > block_depths[-1]):
+                close(depth)
             continue
         # The end tag of a head may be missing: it ends with what cannot stand in it.
         if tag == "body":
@@ -263,6 +270,8 @@ def features(page: Page) -> np.ndarray:
             paragraphs[p] += paragraphs[i]
             blocks[p] += blocks[i]
             all_stops[p] += all_stops[i]
+    for kin in children:
+        kin.reverse()
     passed = 0
     starts = [0] * n
     order: dict[int, int] = {}
@@ -508,22 +517,43 @@ def _labels(page: Page) -> list[float]:
     return out
 
 
-def training_rows(sources: list[str], n_pages: int = TRAIN_PAGES, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
-    """(features, labels) of the nodes of ``n_pages`` made-up pages with sentences of ``sources``."""
-    pool: list[str] = []
-    for source in sources:
-        page = parse(source)
-        for block in blocks(page, [True] * len(page.tags)):
-            pool += [html.escape(s) for s in re.findall(r"[^.]+\.", block)[:40] if len(s) < 400]
-    pool = pool or list(_FALLBACK)
+def sentences(source: str) -> list[str]:
+    """Sentences of a page, escaped for a page: at most ``PAGE_SENTENCES`` of less than 400 characters."""
+    page, found = parse(source), []
+    for block in blocks(page, [True] * len(page.tags)):
+        found += [html.escape(s) for s in re.findall(r"[^.]+\.", block)[:40] if len(s) < 400]
+    return found[:PAGE_SENTENCES]
+
+
+def sampled_sentences(pages: DataFrame, id_col: str, html_col: str) -> list[list[str]]:
+    """The sentences of ``SAMPLE_PAGES`` pages at most, those whose ids have the smallest hashes.
+
+    Of the rows of one id that with the smallest hash counts, whatever files the table lies in. Pages
+    stay on the executors; the driver gets ids and at most ``PAGE_SENTENCES`` sentences a page.
+    """
+    key = F.xxhash64(F.lit(9), column(pages, id_col).cast("string"))
+    drawn = [r[0] for r in pages.select(key.alias("key")).distinct().orderBy("key").limit(SAMPLE_PAGES).collect()]
+
+    @F.pandas_udf("array<string>")
+    def cut(batch: pd.Series) -> pd.Series:
+        return pd.Series([sentences(source) for source in batch], dtype=object)
+
+    rows = pages.select(key.alias("key"), text_of(column(pages, html_col)).alias("html")).where(F.col("key").isin(drawn))
+    one = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("html").alias("hash"), F.col("html"))).alias("page"))
+    return [r["found"] for r in one.select("key", cut(F.col("page.html")).alias("found")).orderBy("key").collect()]
+
+
+def training_rows(found: list[list[str]], n_pages: int = TRAIN_PAGES, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
+    """(features, labels) of the nodes of ``n_pages`` made-up pages with the sentences of given ones."""
+    pool = [s for page in found for s in page] or list(_FALLBACK)
     rng = random.Random(seed)
     pages = [parse(_training_page(rng, pool)) for _ in range(n_pages)]
     return np.concatenate([features(p) for p in pages]), np.concatenate([_labels(p) for p in pages])
 
 
-def train(spark: SparkSession, sources: list[str], n_pages: int = TRAIN_PAGES) -> Trees:
-    """Fit the trees with Spark on the nodes of the training pages."""
-    x, y = training_rows(sources, n_pages)
+def fit(spark: SparkSession, found: list[list[str]], n_pages: int = TRAIN_PAGES) -> Trees:
+    """Fit the trees with Spark on the nodes of the training pages, made of the sentences ``found``."""
+    x, y = training_rows(found, n_pages)
     cells = pa.FixedSizeListArray.from_arrays(pa.array(x.astype(float).ravel()), N_FEATURES).cast(pa.list_(pa.float64()))
     rows = spark.createDataFrame(pa.table({"array": cells, "label": pa.array(y)})).coalesce(1).select(array_to_vector("array").alias("features"), "label").persist()
     try:
@@ -562,9 +592,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """
     spark = pages.sparkSession
     bound_batches(spark)
-    sources = pages.select(text_of(column(pages, html_col)).alias("html"))
     if trees is None:
-        trees = train(spark, [r[0] for r in sources.limit(SAMPLE_PAGES).collect()])
+        trees = fit(spark, sampled_sentences(pages, id_col, html_col))
     model = spark.sparkContext.broadcast(trees)
 
     @F.pandas_udf("string")

@@ -177,6 +177,7 @@ def mixed_documents(docs: DataFrame, block_words: int = 128, **cols: str) -> Dat
     A document that the mix does not reach is left out; one taken more than once whole is repeated.
     All columns stay.
     """
+    (copy,) = fresh(docs, "mix_copy")
     id_col, text_col, source_col = cols.get("id_col", "doc_id"), cols.get("text_col", "text"), cols.get("source_col", "source")
     times = (
         taken_words(docs, block_words, **cols)
@@ -192,5 +193,5 @@ def mixed_documents(docs: DataFrame, block_words: int = 128, **cols: str) -> Dat
         & (F.xxhash64(column(docs, text_col)) == times["mix_version"]),
     )
     return joined.where(times["mix_times"] > 0).select(
-        *[column(docs, c) for c in docs.columns], F.explode(F.sequence(F.lit(1), times["mix_times"])).alias("mix_copy")
-    ).drop("mix_copy")
+        *[column(docs, c) for c in docs.columns], F.explode(F.sequence(F.lit(1), times["mix_times"])).alias(copy)
+    ).drop(copy)

@@ -184,7 +184,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``fp`` is the fingerprint as a signed integer, ``version`` a hash of the text, ``component_id`` the
     smallest id that can be reached over links, the row's own included (null if all of them are null).
     Null, empty and blank texts have the fingerprint zero and are linked like any other. Ids are
-    integers; other columns play no part. An empty table gives no rows.
+    integers; other columns play no part, whatever their names. An empty table gives no rows. A very
+    long text takes time in proportion to its length and memory for its words.
     """
     bound_batches(docs.sparkSession)
     text = column(docs, text_col)
@@ -194,8 +195,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     fps = stage(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")), "distinct-fingerprints")
     linked = link(fps, limit)
-    placed = fps.join(linked, "fp").select("fp", "least", "component")
-    least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    placed = stage(fps.join(linked, "fp").select("fp", "least", "component"), "placed-fingerprints")
+    # Written, so that the join back has an exchange of its own on either side: AQE can then split a
+    # component of very many fingerprints, or broadcast a short list.
+    least = stage(placed.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
     labels = placed.join(least, "component").select(F.col("fp").alias("of"), "component_id", "component")
     return rows.join(labels, F.col("fp") == F.col("of")).select("id", "version", "fp", "component_id", "component")
 
