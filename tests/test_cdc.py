@@ -142,3 +142,36 @@ def test_merge_stream_hands_over_deletes(spark, tmp_path):
         f"{tmp_path}/offsets", interval=None,
     ).awaitTermination()
     assert sorted(seen) == [(1, "r"), (2, "u"), (3, "d")]
+
+
+def test_many_batches_leave_few_folders(spark, tmp_path):
+    """Batches are folded into bases; the state is that of all changes, a restart goes on, and a base that was
+    cut off does not count."""
+    base = str(tmp_path)
+    want, values = {}, []
+    for n in range(24):
+        key = n % 5
+        values.append(event("u" if n > 4 else "c", key, 100 + n, 100 * n) if n % 7 else event("d", key, 100 + n, before=image(key), after=None))
+        if n % 7:
+            want[key] = f"{n}.00"
+        else:
+            want.pop(key, None)
+    for n, value in enumerate(values):
+        log(spark, [value], 10 * n).coalesce(1).write.mode("append").parquet(f"{base}/log")
+
+    def go():
+        stream = topics.stream_log_files(spark, f"{base}/log", max_files=1)
+        ingest.start_ingest(stream, cdc.TRANSACTIONS, f"{base}/changes", f"{base}/offsets", interval=None, compact_every=4).awaitTermination()
+
+    go()
+    (tmp_path / "changes" / "_bases" / "upto=99").mkdir()
+    names = sorted(p.name for p in (tmp_path / "changes").iterdir() if p.name.startswith("epoch"))
+    assert len(names) == 4 and len(list((tmp_path / "changes" / "_bases").iterdir())) <= 3
+    state = lambda: {r.tx_id: str(r.tx_amount) for r in ingest.table_state(spark, cdc.TRANSACTIONS, f"{base}/changes").collect()}
+    assert state() == want
+    # The same fold again, as after a failure before the batch was committed.
+    ingest.retire_epochs(spark, cdc.TRANSACTIONS, f"{base}/changes")
+    assert state() == want
+    log(spark, [event("c", 77, 500, 100)], 900).coalesce(1).write.mode("append").parquet(f"{base}/log")
+    go()
+    assert state() == want | {77: "1.00"}

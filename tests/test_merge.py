@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,83 @@ def test_tables(spark):
     assert tables.run_sql(spark, "SELECT count(*) AS n FROM txlake_test.customer").first().n == 1
     tables.drop_table(spark, name)
     spark.sql("DROP DATABASE IF EXISTS txlake_test CASCADE")
+
+
+@pytest.fixture
+def places(spark):
+    spark.sql("DROP DATABASE IF EXISTS txlake_versions CASCADE")
+    make = lambda ids, x: spark.createDataFrame([(i, x, 0.0) for i in ids], "customer_id long, x_location double, y_location double")
+    yield make
+    spark.sql("DROP DATABASE IF EXISTS txlake_versions CASCADE")
+
+
+def load(spark, rows):
+    return tables.load_table(rows, "txlake_versions", "customer")
+
+
+def held(spark):
+    return {r.customer_id: r.x_location for r in spark.table("txlake_versions.customer").collect()}
+
+
+@pytest.mark.parametrize("broken", ["write_version", "switch_version"])
+def test_load_cut_off_leaves_the_old_rows(spark, places, monkeypatch, broken):
+    load(spark, places(range(20), 1.0))
+    right = getattr(tables, broken)
+
+    def fails(*args):
+        if broken == "write_version":
+            right(*args)  # all is written, nothing is switched
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, broken, fails)
+        with pytest.raises(RuntimeError):
+            load(spark, places(range(10, 30), 2.0))
+    assert held(spark) == dict.fromkeys(range(20), 1.0)
+    load(spark, places(range(10, 30), 2.0))
+    assert held(spark) == {i: 1.0 if i < 10 else 2.0 for i in range(30)}
+
+
+def test_reader_of_the_old_version_goes_on(spark, places):
+    load(spark, places(range(5), 1.0))
+    begun = spark.table("txlake_versions.customer").select("customer_id", "x_location")
+    begun._jdf.queryExecution().executedPlan()
+    load(spark, places(range(5), 2.0))
+    assert {r.x_location for r in begun.collect()} == {1.0} and set(held(spark).values()) == {2.0}
+
+
+def test_versions_do_not_pile_up(spark, places):
+    for x in range(5):
+        load(spark, places(range(3), float(x)))
+    where = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE TABLE EXTENDED txlake_versions.customer").collect()}["Location"]
+    folder = Path(where.removeprefix("file:")).parent
+    assert len(list(folder.glob("customer__version_*"))) == 2 and held(spark) == dict.fromkeys(range(3), 4.0)
+
+
+@pytest.mark.parametrize("rows_", [0, 100])
+def test_upsert_does_not_move_the_table(spark, places, rows_):
+    """The target of a large and of a small source is read in its buckets, in order, without an exchange."""
+    load(spark, places(range(500), 1.0))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.table("txlake_versions.customer")
+        source = merge.with_audit(places(range(400, 460), 2.0))
+        out = merge.merge_upsert(target, source, ["customer_id"], small_rows=rows_)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 500 and "Scan parquet" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    for at, line in enumerate(lines):
+        if "Scan parquet spark_catalog.txlake_versions" not in line:
+            continue
+        depth, above = len(line) - len(line.lstrip(" :|+-")), []
+        for up in reversed(lines[:at]):
+            indent = len(up) - len(up.lstrip(" :|+-"))
+            if indent < depth:
+                depth = indent
+                above.append(up)
+                if "Join" in up:
+                    break
+        assert "Bucketed: true" in line and not any("Exchange" in x for x in above), above

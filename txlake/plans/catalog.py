@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.functions.scalars import decode_decimal, encode_decimal, from_seconds, predicted_class
-from txlake.operators import cdc, labels, merge, metrics, models, radius, snapshots, splits, stats
+from txlake.operators import cdc, labels, merge, metrics, models, panes, radius, snapshots, splits, stats
 from txlake.operators.ordering import sequential_ids
 from txlake.operators.rolling import customer_rolling_features, rolling_sums, terminal_risk_features
 from txlake.plans import views as v
@@ -592,6 +592,39 @@ def stream_append(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select(*ENRICHED)
 
 
+# --- features from daily panes ----------------------------------------------------------------
+
+
+def _change_batches(tx):
+    """Three batches of changes that end in ``tx``: rows with wrong values and dates, then the rest with
+    the corrections, then what must not be there is taken away."""
+    signed = lambda df, sign: df.withColumn("sign", F.lit(sign))
+    early, wrong, ghost = F.col("tx_id") % 3 != 1, F.col("tx_id") % 4 == 0, F.col("tx_id") % 7 == 0
+    amount = F.when(wrong, F.col("tx_amount") + 5).otherwise(F.col("tx_amount")).cast("decimal(10,2)")
+    first = tx.where(early).withColumns({"tx_amount": amount, "tx_fraud": F.when(wrong, 1 - F.col("tx_fraud")).otherwise(F.col("tx_fraud"))})
+    ghosts = tx.where(ghost).withColumn("tx_datetime", F.col("tx_datetime") - F.expr("INTERVAL 1 DAY"))
+    second = signed(first.where(wrong), -1).unionByName(signed(tx.where(early & wrong), 1)).unionByName(signed(tx.where(~early), 1))
+    return [signed(first, 1), second.unionByName(signed(ghosts, 1)), signed(ghosts, -1)]
+
+
+@query(
+    v.with_(
+        v.TX, v.customer_features_sql(), v.terminal_features_sql(source="cust"),
+        body=f"SELECT tx_id, {CUST}, {TERM} FROM term",
+    )
+)
+def pane_features(spark, sf_dir):
+    """All window features from panes that three batches of changes have brought up to date."""
+    base = staging_path(spark, "panes")
+    tx = v.transactions(spark, sf_dir).select("tx_id", "tx_datetime", "customer_id", "terminal_id", "tx_amount", "tx_fraud")
+    stores = {e: panes.PaneStore(spark, f"{base}/{e}", e) for e in ("customer_id", "terminal_id")}
+    for epoch, batch in enumerate(_change_batches(tx)):
+        for store in stores.values():
+            store.apply(batch, epoch)
+    rows = panes.customer_features(tx, stores["customer_id"].panes(), tx)
+    return panes.terminal_features(rows, stores["terminal_id"].panes(), tx).select("tx_id", *CUSTOMER_FEATURES, *TERMINAL_FEATURES)
+
+
 # --- statistics and sources -----------------------------------------------------------------
 
 DAILY_SQL = """daily AS (SELECT tx_time_days, count(customer_id) AS nb_tx_per_day,

@@ -97,6 +97,32 @@ def holds_files(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str, prefix: str, whole: bool = False) -> list[int]:
+    """The numbers of the folders ``<prefix><number>`` in ``path``, sorted; with ``whole`` only of those that a
+    writer has finished."""
+    at, fs = _file_system(spark, path)
+    if not fs.exists(at):
+        return []
+    found = []
+    for status in fs.listStatus(at):
+        name = status.getPath().getName()
+        done = not whole or fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+        if status.isDirectory() and name.startswith(prefix) and done:
+            found.append(int(name.removeprefix(prefix)))
+    return sorted(found)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    at, fs = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def refuse_new_checkpoint(spark: SparkSession, path: str, checkpoint: str) -> None:
     """Raise if a stream would begin anew (no checkpoint yet) on an output that holds data.
 
