@@ -1023,6 +1023,35 @@ def performance_report(spark, sf_dir):
     return out.select("model", *[F.round(c, 6).alias(c) for c in out.columns if c != "model"])
 
 
+@query(
+    v.with_(
+        v.TX, v.SCORED, v.MODEL_SCORES, CARDS, WALK, RANKING,
+        body=f"""SELECT ranking.model, round_even(auc_roc, 3) AS auc_roc, round_even(average_precision, 3) AS average_precision,
+                 round_even(avg(card_precision), 3) AS card_precision_at_{TOP}
+                 FROM ranking JOIN per_day ON per_day.model = ranking.model
+                 GROUP BY ranking.model, auc_roc, average_precision""",
+        recursive=True,
+    )
+)
+def performance_report_rounded(spark, sf_dir):
+    """The report as it is printed: three digits, half to even."""
+    return metrics.performance_report(v.model_scores(spark, sf_dir), ["model"], [TOP])
+
+
+@query(
+    v.with_(
+        v.TX, v.SCORED, v.MODEL_SCORES, CARDS, WALK,
+        body="SELECT model, round(avg(card_precision), 6) AS card_precision FROM per_day GROUP BY model", recursive=True,
+    )
+)
+def card_precision_separate(spark, sf_dir):
+    """Card precision of predictions that are kept apart from their transactions, model by model."""
+    tx, scores = v.transactions(spark, sf_dir), v.model_scores(spark, sf_dir)
+    models_ = ("amount", "constant", "hash")
+    found = [(m, metrics.card_precision_of(tx, scores.where(F.col("model") == m).select("tx_id", "score"), TOP)) for m in models_]
+    return spark.createDataFrame(found, "model string, card_precision double").withColumn("card_precision", F.round("card_precision", 6))
+
+
 SCALED = ["tx_amount", "tx_during_weekend", "tx_during_night", "terminal_id"]
 
 
