@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.functions.scalars import decode_decimal, encode_decimal, from_seconds, predicted_class
-from txlake.operators import cdc, labels, merge, metrics, models, panes, radius, snapshots, splits, stats
+from txlake.operators import cdc, labels, merge, metrics, models, panes, radius, sketches, snapshots, splits, stats
 from txlake.operators.ordering import sequential_ids
 from txlake.operators.rolling import customer_rolling_features, rolling_sums, terminal_risk_features
 from txlake.plans import views as v
@@ -243,6 +243,21 @@ def cdc_latest_image(spark, sf_dir):
     return _plain(cdc.current_state(v.cdc_log(spark, sf_dir), cdc.TRANSACTIONS))
 
 
+@query(LATEST_SQL)
+def cdc_offset_ranges(spark, sf_dir):
+    """The state from two reads of the log by offsets: up to half of each partition, then from there on."""
+    path = f"{staging_path(spark, 'log')}/log"
+    v.cdc_log(spark, sf_dir).write.parquet(path)
+    log = topics.read_log_files(spark, path)
+    ends = topics.next_offsets(log)
+    half = {p: end // 2 for p, end in ends.items()}
+    first = topics.between_offsets(log, dict.fromkeys(ends, topics.EARLIEST), half)
+    rest = topics.between_offsets(log, half, ends)
+    latest = [cdc.latest_image(cdc.parse_changes(part, cdc.TRANSACTIONS), cdc.TRANSACTIONS.keys, keep_deletes=True) for part in (first, rest)]
+    state = cdc.latest_image(latest[0].unionByName(latest[1]), cdc.TRANSACTIONS.keys)
+    return _plain(state.select(*cdc.TRANSACTIONS.columns))
+
+
 @query(LATEST_SQL)
 def cdc_stream_ingest(spark, sf_dir):
     """Four log files, one per micro-batch, through the stream; the state read back at the end."""
@@ -656,6 +671,34 @@ def daily_stats_long(spark, sf_dir):
     return stats.daily_stats_long(stats.daily_stats(v.transactions(spark, sf_dir), v.ORIGIN))
 
 
+RANGES = [(0, 9), (5, 25), (0, 29), (12, 12)]
+
+
+@query(
+    v.with_(
+        v.TX, f"ranges AS (SELECT * FROM (VALUES {', '.join(map(str, RANGES))}) AS r(first, last))",
+        body="""SELECT first, last, count(*) AS n, CAST(sum(tx_fraud) AS BIGINT) AS frauds, TRUE AS p25, TRUE AS p50, TRUE AS p75,
+                TRUE AS cards, TRUE AS bad_cards FROM ranges JOIN tx ON tx_time_days BETWEEN first AND last GROUP BY first, last""",
+    )
+)
+def sketch_ranges(spark, sf_dir):
+    """Ranges of days from daily sketches: exact counts, and whether each estimate is within its bound of the
+    exact figure (2% of the ranks, 8% of the distinct cards)."""
+    tx = v.transactions(spark, sf_dir)
+    daily = stage(sketches.daily_sketches(tx), "daily-sketches")
+    ranges = spark.createDataFrame(RANGES, "first long, last long")
+    found = sketches.merged_ranges(daily, ranges)
+    inside = tx.join(F.broadcast(found), F.col("tx_time_days").between(F.col("first"), F.col("last")))
+    share = lambda q: F.avg((F.col("tx_amount").cast("double") <= F.col(f"p{q}")).cast("double"))
+    bad = F.when(F.col("tx_fraud") == 1, F.col("customer_id"))
+    close = lambda name, exact: F.abs(F.max(name) - F.count_distinct(exact)) <= 0.08 * F.count_distinct(exact)
+    return inside.groupBy("first", "last").agg(
+        F.max("n").alias("n"), F.max("frauds").alias("frauds"),
+        *[(F.abs(share(q) - q / 100) < 0.02 + 1 / F.count(F.lit(1))).alias(f"p{q}") for q in (25, 50, 75)],
+        close("cards", F.col("customer_id")).alias("cards"), close("bad_cards", bad).alias("bad_cards"),
+    )
+
+
 PROFILED = ["tx_amount", "tx_fraud", "tx_time_days", "terminal_id"]
 
 
