@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import cases
+from pyspark.sql import functions as F
 import pytest
 
 from txlake.llm import mixing
@@ -97,3 +98,9 @@ def test_mixed_documents(spark):
     for key, n in count.items():
         assert n >= taken[key] > 0
     assert set(count) == {k for k, n in taken.items() if n}
+
+
+def test_column_of_the_copies_name_stays(spark):
+    df = cases.frame(spark, cases.documents()).withColumn("mix_copy", F.lit("keep"))
+    got = mixing.mixed_documents(df)
+    assert got.columns == df.columns and {r["mix_copy"] for r in got.select("mix_copy").collect()} == {"keep"}

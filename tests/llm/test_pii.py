@@ -115,14 +115,14 @@ def test_context_from_every_place(spark):
     rows = []
     for i in range(300):
         filler = "".join(rng.choice(["x ", "é", "\U0001f600", "call ", " ssn", "12.5 ", "\n"]) for _ in range(rng.randint(0, 60)))
-        rows.append((i, f"{filler} tel{' ' * rng.randint(1, 50)}555 123 4567 {filler}123-45-6789", None, None, None))
+        rows.append((i, f"{filler} tel{' ' * rng.randint(1, 50)}555 123 4567, {filler}123-45-6789", None, None, None))
     got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(cases.frame(spark, rows)).collect()}
     words = {"ssn": r"\b(?:ssn|social security)\b", "local_phone": r"\b(?:phone|telephone|tel|call|fax|mobile)\b"}
     for i, text, *_ in rows:
         spans = [s for s in got[i] if s["kind"] in words]
-        assert all(re.search(words[s["kind"]], text[max(0, s["start"] - pii.NEAR) : s["start"]].lower(), re.A) for s in spans)
+        assert all(re.search(words[s["kind"]], text[max(0, s["start"] - pii.NEAR) : s["start"]].lower()) for s in spans)
         (phone,) = [m.start() for m in re.finditer("555 123 4567", text)]
-        near = bool(re.search(words["local_phone"], text[max(0, phone - pii.NEAR) : phone].lower(), re.A))
+        near = bool(re.search(words["local_phone"], text[max(0, phone - pii.NEAR) : phone].lower()))
         assert near == any(s["start"] == phone for s in spans)
 
 

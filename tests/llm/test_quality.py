@@ -2,6 +2,8 @@ import re
 from collections import Counter
 
 import cases
+import pytest
+from pyspark.sql import functions as F
 
 from txlake.llm import quality
 
@@ -62,6 +64,30 @@ def test_measured_order(spark):
     assert {m.rule.name for m in found} == {r.name for r in quality.RULES}
 
 
+def test_later_rules_are_not_evaluated(spark):
+    """A rule that would end the job on any text it sees, behind one that rejects the texts it must not see."""
+    rows = [(1, "bad " * 20, None, None, None), (2, cases.sentence(__import__("random").Random(1), 20, 30), None, None, None), (3, "few bad", None, None, None)]
+    seen = quality.Rule("seen", lambda f: F.when(f.text.contains("bad"), F.raise_error(F.lit("evaluated")).cast("boolean")).otherwise(F.lit(False)))
+    bad = quality.Rule("bad", lambda f: f.text.contains("bad"))
+    df = cases.frame(spark, rows)
+    text = quality.Figures(df["text"])
+    assert [r["doc_id"] for r in df.where(quality.passes(text, [bad, seen])).collect()] == [2]
+    with pytest.raises(Exception, match="evaluated"):
+        df.where(quality.passes(text, [seen, bad])).collect()
+    # In the query, figures that are not returned are evaluated only for texts that reach their rule.
+    known = df.select("doc_id", "text", quality.words(F.col("text")).alias("found"), *[F.lit(0).cast("long").alias(c) for c in quality.Returned.COLUMNS])
+    lazy = known.select("doc_id", quality.passes(quality.Returned(F.col("text"), F.col("found")), [bad, seen]).alias("kept"))
+    assert {r["doc_id"]: r["kept"] for r in lazy.collect()} == {1: False, 2: True, 3: False}
+
+
+def test_sample_is_drawn_from_all_rows(spark):
+    """A table sorted by source gives a sample of all sources, bounded, the same from other files."""
+    rows = [(i, f"text {i}", None, f"s{i // 1000}", None) for i in range(5000)]
+    drawn = [sorted(r["text"] for r in quality.draw(spark.createDataFrame(rows, cases.DOCS).repartition(n), "doc_id", "text", 200).collect()) for n in (2, 5)]
+    assert drawn[0] == drawn[1] and 100 < len(drawn[0]) <= 200
+    assert {int(t.split()[1]) // 1000 for t in drawn[0]} == set(range(5))
+
+
 def test_empty_table(spark):
     df = cases.frame(spark, [])
     assert quality.figures_and_verdict(df).count() == 0

@@ -41,10 +41,9 @@ def drop_repeated_lines(
     text = text_of(column(docs, text_col))
     lines = F.split(text, "\n", -1)
 
-    exploded = docs.select(
-        column(docs, id_col).cast("long").alias("id"), F.xxhash64(text).alias("version"),
-        F.posexplode(lines).alias("pos", "line"),
-    )
+    # The hash of the text comes before the lines, or it would be taken once per line.
+    cut = docs.select(column(docs, id_col).cast("long").alias("id"), F.xxhash64(text).alias("version"), lines.alias("lines"))
+    exploded = cut.select("id", "version", F.posexplode("lines").alias("pos", "line"))
     keyed = exploded.select("id", "version", "pos", line_key(F.col("line")).alias("key"))
     # Two 64-bit hashes: one alone would collide among some 10^10 different lines.
     hashed = keyed.where(F.length("key") >= min_chars).select(

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlake.llm.common import column, words
+from txlake.llm.common import column, fresh, words
 from txlake.operators.ordering import running_totals, sequential_ids
 from txlake.session import stage
 
