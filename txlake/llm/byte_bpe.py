@@ -14,8 +14,7 @@ die out, so the lookahead is bounded and so is a state; a text's length plays no
 and distinct pieces are kept in tables of bounded size that are emptied when full; that costs time only.
 
 **Decoding** reads ids in blocks and gives text as far as characters are complete. The machine's state is
-the beginning of a character that is not complete yet, three bytes at most; a step by a token is worked
-out byte by byte once and looked up afterwards.
+the beginning of a character that is not complete yet, three bytes at most.
 
 No shuffle, nothing is sent to the driver; the vocabulary goes to the tasks as bytes.
 """
@@ -37,9 +36,11 @@ from pyspark.sql import functions as F
 
 from txlake.llm.common import text_of
 
-MAX_STATES = 150_000
+MAX_STATES = 300_000
 MAX_PAIRS = 400_000
-MAX_PIECES = 150_000
+MAX_PIECES = 250_000
+# Pieces that begin alike share the steps by their first bytes.
+HEAD, MAX_HEADS = 5, 150_000
 LONG_PIECE = 64
 BLOCK = 50_000
 LONG_TEXT = 1 << 20
@@ -48,12 +49,66 @@ NONE = -1
 #: White space of the pattern, as the property White_Space has it.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
-Guess = tuple[tuple[int, ...], int, int]
+NODE_BITS = 20
+NODE_MASK = (1 << NODE_BITS) - 1
+
+
+class Trails:
+    """Tokens that wait to be emitted, as numbers: a trail is another one and a token behind it.
+
+    The trails 0 to the number of ids are empty; they only know the token before them (id + 1, 0 for none),
+    which a trail that has tokens need not know.
+    """
+
+    def __init__(self, size: int):
+        self.size = size
+        self.packed = [i.to_bytes(4, "little") for i in range(size)]
+        self.clear()
+
+    def clear(self) -> None:
+        empty = self.size + 1
+        self.before = list(range(-1, self.size))  # the last token, or the one before an empty trail
+        self.first = [NONE] * empty
+        self.parent = [NONE] * empty
+        self.ids = [b""] * empty
+        self.known: dict[int, int] = {}
+        self.shorter: dict[int, int] = {}
+
+    def extend(self, trail: int, token: int) -> int:
+        if self.first[trail] == NONE:
+            # The token before the first waiting one says nothing of what follows.
+            trail = 0
+        key = trail * self.size + token
+        found = self.known.get(key)
+        if found is None:
+            found = self.known[key] = len(self.before)
+            self.before.append(token)
+            self.first.append(token if self.first[trail] == NONE else self.first[trail])
+            self.parent.append(trail)
+            self.ids.append(self.ids[trail] + self.packed[token])
+        return found
+
+    def rest(self, trail: int) -> int:
+        """The trail without its first token, which then is the token before."""
+        found = self.shorter.get(trail)
+        if found is None:
+            parent, token = self.parent[trail], self.before[trail]
+            found = token + 1 if self.first[parent] == NONE else self.extend(self.rest(parent), token)
+            self.shorter[trail] = found
+        return found
+
+    def tokens(self, trail: int) -> tuple[int, list[int]]:
+        """The empty trail at the beginning and the tokens behind it."""
+        found = []
+        while self.first[trail] != NONE:
+            found.append(self.before[trail])
+            trail = self.parent[trail]
+        return trail, found[::-1]
 
 
 class Transducer:
-    """Bytes to token ids. A guess is (tokens not emitted yet, token before the open one, node of the
-    tree of tokens that the open one has reached)."""
+    """Bytes to token ids. A guess is a number: the trail of tokens not emitted yet, and in the lower bits
+    the node of the tree of tokens that the open one has reached."""
 
     def __init__(self, ranks: dict[bytes, int]):
         lacking = [b for b in range(256) if bytes([b]) not in ranks]
@@ -63,12 +118,16 @@ class Transducer:
         self.token_bytes = {i: t for t, i in ranks.items()}
         self.size = max(self.token_bytes) + 1
         self._grow_tree()
+        self.trails = Trails(self.size)
         self.spines: dict[int, tuple | None] = {}
         self.pairs: dict[int, bool] = {}
-        self.guesses: list[tuple[Guess, ...]] = []
-        self.numbers: dict[tuple[Guess, ...], int] = {}
+        self.guesses: list[tuple[int, ...]] = []
+        self.numbers: dict[tuple[int, ...], int] = {}
         self.steps: dict[int, tuple[int, bytes]] = {}
-        self._forget()
+        # What is left where a text ends in a state, and steps by several bytes from the start at once.
+        self.ends: list[bytes] = []
+        self.heads: dict[bytes, tuple[int, bytes]] = {}
+        self._number((0,))
 
     def _grow_tree(self) -> None:
         """Children by (node, byte), the token that ends at a node, and whether a longer one goes on."""
@@ -85,21 +144,48 @@ class Transducer:
                     self.token_at.append(NONE)
                     self.goes_on.append(False)
             self.token_at[node] = token
+        if len(self.token_at) > NODE_MASK:
+            raise ValueError("the vocabulary has too many tokens")
 
-    def _forget(self) -> None:
-        for kept in (self.guesses, self.numbers, self.steps):
+    def _start_anew(self, guesses: list[int]) -> tuple[int, ...]:
+        """Empty the tables but for the start and ``guesses``, whose new numbers are returned."""
+        held = [(*self.trails.tokens(g >> NODE_BITS), g & NODE_MASK) for g in guesses]
+        for kept in (self.guesses, self.numbers, self.steps, self.ends, self.heads, self.trails):
             kept.clear()
-        self._number((((), NONE, 0),))
-
-    def _number(self, guesses: tuple[Guess, ...]) -> int:
+        self._number((0,))
+        found = []
+        for trail, tokens, node in held:
+            for token in tokens:
+                trail = self.trails.extend(trail, token)
+            found.append(trail << NODE_BITS | node)
+        return tuple(found)
+
+    def _number(self, guesses: tuple[int, ...]) -> int:
         found = self.numbers.setdefault(guesses, len(self.guesses))
         if found == len(self.guesses):
             self.guesses.append(guesses)
+            # The newest guess has all bytes in whole tokens.
+            self.ends.append(self.trails.ids[guesses[-1] >> NODE_BITS])
         return found
 
     def encode(self, data: bytes) -> bytes:
         """The ids of ``data`` as little-endian unsigned 32-bit integers."""
-        state, out, known = 0, [], self.steps.get
+        head = data[:HEAD]
+        found = self.heads.get(head)
+        if found is None:
+            found = self._run(0, head)
+            if len(self.heads) >= MAX_HEADS:
+                self.heads.clear()
+            self.heads[head] = found
+        state, emitted = found
+        if len(data) > HEAD:
+            state, more = self._run(state, data[HEAD:])
+            emitted += more
+        return emitted + self.ends[state]
+
+    def _run(self, state: int, data: bytes) -> tuple[int, bytes]:
+        """The state that ``data`` leads to, and what is emitted on the way."""
+        out, known = [], self.steps.get
         for byte in data:
             step = known(state << 8 | byte)
             if step is None:
@@ -107,50 +193,41 @@ class Transducer:
             state, emitted = step
             if emitted:
                 out.append(emitted)
-        # The newest guess has all bytes in whole tokens: what is left where the text ends.
-        out.append(ids_to_bytes(self.guesses[state][-1][0]))
-        return b"".join(out)
+        return state, b"".join(out)
 
     def _step(self, state: int, byte: int) -> tuple[int, bytes]:
         """Work out one step of the determinised machine and keep it."""
-        children, token_at, goes_on = self.children, self.token_at, self.goes_on
-        going: list[Guess] = []
-        ended: Guess | None = None
-        for pending, before, node in self.guesses[state]:
-            node = children.get(node << 8 | byte)
+        child, token_at, goes_on, trails = self.children.get, self.token_at, self.goes_on, self.trails
+        going: list[int] = []
+        ended = NONE
+        for guess in self.guesses[state]:
+            node = child((guess & NODE_MASK) << 8 | byte)
             if node is None:
                 continue
-            if ended is None:
+            if ended == NONE:
                 token = token_at[node]
-                if token != NONE and self._fits(before, token):
-                    ended = ((*pending, token), token, 0)
+                if token != NONE:
+                    trail = guess >> NODE_BITS
+                    if self._fits(trails.before[trail], token):
+                        ended = trails.extend(trail, token) << NODE_BITS
             if goes_on[node]:
-                going.append((pending, before, node))
-        if ended is None:
+                going.append((guess & ~NODE_MASK) | node)
+        if ended == NONE:
             raise AssertionError("every prefix has an encoding")
         going.append(ended)
-        # Most often the oldest guess waits for its first token.
-        agreed = self._agreed(going) if going[0][0] else 0
         emitted = b""
-        if agreed:
-            emitted = ids_to_bytes(going[0][0][:agreed])
-            going = [(pending[agreed:], before, node) for pending, before, node in going]
+        while True:
+            # Most often the oldest guess waits for its first token.
+            token = trails.first[going[0] >> NODE_BITS]
+            if token == NONE or any(trails.first[g >> NODE_BITS] != token for g in going):
+                break
+            emitted += trails.packed[token]
+            going = [trails.rest(g >> NODE_BITS) << NODE_BITS | g & NODE_MASK for g in going]
         if len(self.guesses) >= MAX_STATES:
-            self._forget()
-            return self._number(tuple(going)), emitted
+            return self._number(self._start_anew(going)), emitted
         step = self.steps[state << 8 | byte] = self._number(tuple(going)), emitted
         return step
 
-    @staticmethod
-    def _agreed(going: list[Guess]) -> int:
-        """How many tokens all guesses begin with."""
-        shortest = min(len(g[0]) for g in going)
-        first = going[0][0]
-        for k in range(shortest):
-            if any(g[0][k] != first[k] for g in going):
-                return k
-        return shortest
-
     def _spine(self, token: int) -> tuple | None:
         """How a token's own bytes merge: the ranks of the merges in order, then a number above all, and
         the first and the last part before each of them and at the end. None if they do not merge to
@@ -234,38 +311,40 @@ class Pieces(dict):
 
 class Utf8Stream:
     """Bytes to text in any portions; what is no UTF-8 becomes U+FFFD, one for each longest beginning
-    of a character."""
+    of a character.
+
+    The state is the beginning of a character at the end of what came so far. It is carried into the next
+    portion; a byte that begins a character ends whatever was before it, so all up to there is settled.
+    """
 
     def __init__(self):
         self.held = b""
 
     def feed(self, data: bytes) -> str:
         """The characters that ``data`` completes; the beginning of another one is held."""
-        out: list[str] = []
-        held = self.held
-        wanted, low, high = after(held)
-        for byte in data:
-            if wanted and not low <= byte <= high:
-                out.append("�")
-                held, wanted = b"", 0
-            held += bytes([byte])
-            if wanted:
-                wanted, low, high = wanted - 1, 0x80, 0xBF
-            else:
-                wanted, low, high = lead(byte)
-            if wanted == NONE:
-                out.append("�")
-                held, wanted = b"", 0
-            elif wanted == 0:
-                out.append(held.decode())
-                held = b""
-        self.held = held
-        return "".join(out)
+        data = self.held + data
+        settled = len(data) - unfinished(data[-3:])
+        self.held = data[settled:]
+        return data[:settled].decode("utf-8", "replace")
 
     def close(self) -> str:
         """What is left when no byte follows."""
         rest, self.held = self.held, b""
-        return "�" if rest else ""
+        return rest.decode("utf-8", "replace")
+
+
+def unfinished(tail: bytes) -> int:
+    """How many of the last bytes, three at most, begin a character that can still be completed."""
+    for k in range(len(tail) - 1, -1, -1):
+        wanted, low, high = lead(tail[k])
+        if wanted == NONE:
+            continue  # no first byte: look for the one before
+        for byte in tail[k + 1 :]:
+            if not wanted or not low <= byte <= high:
+                return 0
+            wanted, low, high = wanted - 1, 0x80, 0xBF
+        return len(tail) - k if wanted else 0
+    return 0
 
 
 def lead(byte: int) -> tuple[int, int, int]:
@@ -281,59 +360,12 @@ def lead(byte: int) -> tuple[int, int, int]:
     return NONE, 0, 0
 
 
-def after(held: bytes) -> tuple[int, int, int]:
-    """The state in which a held beginning leaves the machine."""
-    if not held:
-        return 0, 0, 0
-    wanted, low, high = lead(held[0])
-    return (wanted, low, high) if len(held) == 1 else (wanted - len(held) + 1, 0x80, 0xBF)
-
-
-class TokenDecoder:
-    """Ids to text through the UTF-8 machine, a token a step."""
-
-    def __init__(self, token_bytes: dict[int, bytes]):
-        self.token_bytes = token_bytes
-        self.steps: dict[tuple[bytes, int], tuple[str, bytes]] = {}
-        # Tokens that are whole characters need no state.
-        self.whole: dict[int, str] = {}
-        for i, data in token_bytes.items():
-            text, held = self._step(b"", i)
-            if not held:
-                self.whole[i] = text
-
-    def _step(self, held: bytes, token: int) -> tuple[str, bytes]:
-        """At most 1 + 3 * 64 * 64 * 64 states, in real texts some hundred: only seen ones are kept."""
-        found = self.steps.get((held, token))
-        if found is None:
-            if len(self.steps) >= MAX_PAIRS:
-                self.steps.clear()
-            stream = Utf8Stream()
-            stream.held = held
-            found = self.steps[held, token] = stream.feed(self.token_bytes[token]), stream.held
-        return found
-
-    def decode(self, blocks: Iterable[np.ndarray]) -> Iterator[str]:
-        """The text of a stream of ids, in portions; ids that are no tokens raise KeyError."""
-        held, whole = b"", self.whole
-        for block in blocks:
-            ids = block.tolist()
-            if not held:
-                # Most blocks have whole characters only.
-                out = [whole.get(i) for i in ids]
-                if None not in out:
-                    yield "".join(out)
-                    continue
-            out = []
-            for i in ids:
-                if not held and i in whole:
-                    out.append(whole[i])
-                else:
-                    text, held = self._step(held, i)
-                    out.append(text)
-            yield "".join(out)
-        if held:
-            yield "�"
+def decoded(blocks: Iterable[np.ndarray], token_bytes: dict[int, bytes]) -> Iterator[str]:
+    """The text of a stream of ids, in portions; ids that are no tokens raise KeyError."""
+    stream = Utf8Stream()
+    for block in blocks:
+        yield stream.feed(b"".join(map(token_bytes.__getitem__, block.tolist())))
+    yield stream.close()
 
 
 @dataclass(frozen=True)
@@ -408,7 +440,6 @@ class Codec:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in vocabulary.ranks.splitlines() if line)}
         self.machine = Transducer(ranks)
         self.pieces = Pieces(self.machine)
-        self.decoder = TokenDecoder(self.machine.token_bytes)
         self.pattern = regex.compile(vocabulary.pattern)
         self.exact = re.compile(vocabulary.exact_pattern)
         self.ascii = re.compile(vocabulary.ascii_pattern)
@@ -436,7 +467,7 @@ class Codec:
         return np.frombuffer(found, dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> str:
-        return "".join(self.decoder.decode(ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)))
+        return "".join(decoded((ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)), self.machine.token_bytes))
 
 
 def _id_lists(found: list[np.ndarray]) -> pa.Array:
