@@ -143,14 +143,14 @@ def switch_version(spark: SparkSession, table: str, place: str) -> None:
 
 def load_table(
     source: DataFrame, database: str, name: str, as_of: Column | None = None,
-    location: str | None = None,
+    location: str | None = None, buckets: int = BUCKETS,
 ) -> str:
     """Bulk load: make sure the table exists, add the audit columns and upsert.
 
     A transaction's partition is the day of its time.
     """
     spark = source.sparkSession
-    table = ensure_table(spark, database, name, location=location)
+    table = ensure_table(spark, database, name, location=location, buckets=buckets)
     partition = TABLES[name][1]
     if partition and partition not in source.columns:
         source = source.withColumn(partition, F.to_date("tx_datetime"))
