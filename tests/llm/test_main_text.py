@@ -219,3 +219,15 @@ def test_printed_trees_are_the_model(spark, sources):
     model = GBTClassifier(maxIter=4, maxDepth=main_text.DEPTH, seed=1).fit(df)
     raw = [r[0][1] for r in model.transform(df).select(vector_to_array("rawPrediction")).collect()]
     assert np.allclose(main_text._trees(model).odds(x.astype(np.float64)) / 2, raw)
+
+
+def test_training_rows_are_made_in_a_task(spark):
+    """The driver holds no row of the training pages: none travels with the tasks of the trees."""
+    found = [["The river runs to the sea.", "Nobody came, and it was late."]]
+    frame = main_text.training_frame(spark, found, 20)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (0, 1" in plan and "LogicalRDD" not in plan and "LocalRelation" not in plan
+    x, y = main_text.training_rows(found, 20)
+    got = frame.collect()
+    assert np.array_equal(np.array([r["features"].toArray() for r in got]), x.astype(float))
+    assert [r["label"] for r in got] == y.tolist()

@@ -545,17 +545,35 @@ def sampled_sentences(pages: DataFrame, id_col: str, html_col: str) -> list[list
 
 def training_rows(found: list[list[str]], n_pages: int = TRAIN_PAGES, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
     """(features, labels) of the nodes of ``n_pages`` made-up pages with the sentences of given ones."""
+    x, y = zip(*_training_nodes(found, n_pages, seed))
+    return np.concatenate(x), np.concatenate(y)
+
+
+def _training_nodes(found: list[list[str]], n_pages: int, seed: int = 9) -> Iterator[tuple[np.ndarray, list[float]]]:
+    """(features, labels) of the nodes of each of ``n_pages`` made-up pages with the sentences of given ones."""
     pool = [s for page in found for s in page] or list(_FALLBACK)
     rng = random.Random(seed)
-    pages = [parse(_training_page(rng, pool)) for _ in range(n_pages)]
-    return np.concatenate([features(p) for p in pages]), np.concatenate([_labels(p) for p in pages])
+    for _ in range(n_pages):
+        page = parse(_training_page(rng, pool))
+        yield features(page), _labels(page)
+
+
+def training_frame(spark: SparkSession, found: list[list[str]], n_pages: int = TRAIN_PAGES) -> DataFrame:
+    """(features, label) of the nodes of the training pages. They are made page by page in the task that the
+    learner reads: rows that the driver gave would travel with every task of every tree."""
+
+    def made(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, y in _training_nodes(found, n_pages):
+            cells = pa.FixedSizeListArray.from_arrays(pa.array(x.astype(float).ravel()), N_FEATURES).cast(pa.list_(pa.float64()))
+            yield pa.record_batch({"array": cells, "label": pa.array(y, pa.float64())})
+
+    rows = spark.range(0, 1, 1, 1).mapInArrow(made, "array array<double>, label double")
+    return rows.select(array_to_vector("array").alias("features"), "label")
 
 
 def fit(spark: SparkSession, found: list[list[str]], n_pages: int = TRAIN_PAGES) -> Trees:
     """Fit the trees with Spark on the nodes of the training pages, made of the sentences ``found``."""
-    x, y = training_rows(found, n_pages)
-    cells = pa.FixedSizeListArray.from_arrays(pa.array(x.astype(float).ravel()), N_FEATURES).cast(pa.list_(pa.float64()))
-    rows = spark.createDataFrame(pa.table({"array": cells, "label": pa.array(y)})).coalesce(1).select(array_to_vector("array").alias("features"), "label").persist()
+    rows = training_frame(spark, found, n_pages).persist()
     try:
         return _trees(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=1, maxBins=64).fit(rows))
     finally:
