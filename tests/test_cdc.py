@@ -175,3 +175,25 @@ def test_many_batches_leave_few_folders(spark, tmp_path):
     log(spark, [event("c", 77, 500, 100)], 900).coalesce(1).write.mode("append").parquet(f"{base}/log")
     go()
     assert state() == want | {77: "1.00"}
+
+
+def test_log_files_of_the_ingest_query_are_bounded(spark, sf_dir, monkeypatch):
+    """Four batches whatever the size of the log, each of several files with an even share."""
+    from txlake.plans import catalog
+
+    given = []
+
+    def stream(spark, path, max_files):
+        given.append((path, max_files))
+        return read(spark, path, max_files)
+
+    read = catalog.topics.stream_log_files
+    monkeypatch.setattr(catalog, "LOG_FILE_TX", 50)
+    monkeypatch.setattr(catalog.topics, "stream_log_files", stream)
+    n = catalog.v.table(spark, sf_dir, "events").count()
+    rows = catalog.cdc_stream_ingest(spark, sf_dir)
+    (path, max_files), = given
+    assert max_files == -(-n // 200)
+    sizes = [r["count"] for r in spark.read.parquet(path).selectExpr("_metadata.file_name AS f").groupBy("f").count().collect()]
+    assert len(sizes) == 4 * max_files and max(sizes) < 3 * 50 * 1.7
+    assert rows.count() == catalog.cdc_latest_image(spark, sf_dir).count()
