@@ -150,3 +150,16 @@ def test_daily_stats_count_cards_once(spark):
     assert {(r.stat_type, r.value) for r in long} == {
         ("nb_tx_per_day", 0.06), ("nb_fraud_per_day", 2.0), ("nb_fraudcard_per_day", 1.0)
     }
+
+
+def test_pairs_of_crowded_places_are_dealt_over_tasks(spark, monkeypatch):
+    """Tasks follow the number of pairs, not the bytes read: no task makes most of them."""
+    monkeypatch.setattr(radius, "TASK_PAIRS", 1_000)
+    c = spark.range(200).selectExpr("id AS customer_id", "CAST(id % 2 AS DOUBLE) AS x_location", "0D AS y_location")
+    t = spark.range(100).selectExpr("id AS terminal_id", "0D AS x_location", "CAST(id % 4 AS DOUBLE) AS y_location")
+    met = radius.pairs_within_radius(c, t, 1.5, piece=7)
+    sizes = [n for n in met.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    got = [tuple(r) for r in met.collect()]
+    want = {(i, k) for i in range(200) for k in range(100) if math.sqrt((i % 2) ** 2 + (k % 4) ** 2) < 1.5}
+    assert len(got) == len(want) == sum(sizes) and set(got) == want
+    assert len(sizes) > 5 and max(sizes) < len(want) / 3
