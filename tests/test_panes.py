@@ -96,3 +96,32 @@ def test_store_stays_small(spark, tmp_path):
 def test_empty(spark):
     tx = transactions(spark, 1, 5).where("false")
     assert values(both(tx, panes.panes_of(tx, "customer_id"), panes.panes_of(tx, "terminal_id"))) == [[], []]
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_few_and_many_moments(spark, monkeypatch, few):
+    """Whether or not the history is cut to the asked days first, and however many tasks there are, the windows
+    equal the rolling ones; the moments may come from a cheaper frame."""
+    monkeypatch.setattr(panes, "FEW_MOMENTS", few)
+    monkeypatch.setattr(panes, "TASK_ROWS", 100)
+    tx = transactions(spark, 5)
+    rows = panes.customer_features(tx.where("tx_id % 5 != 2"), panes.panes_of(tx, "customer_id"), tx, asked_in=tx)
+    got = rows, panes.terminal_features(rows, panes.panes_of(tx, "terminal_id"), tx, asked_in=tx)
+    want = [df.where("tx_id % 5 != 2") for df in by_rolling(tx)]
+    want[1] = want[1].where("customer_id IS NOT NULL")
+    assert values(got) == values(want)
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """The moments of one entity are spread by their number, over more tasks than the session has partitions."""
+    monkeypatch.setattr(panes, "TASK_ROWS", 500, raising=False)
+    tx = spark.range(3000).selectExpr(
+        "id AS tx_id", "timestamp_seconds(1704067200 + id * 900) AS tx_datetime", "1L AS customer_id", "7L AS terminal_id",
+        "CAST(1.5 AS decimal(10,2)) AS tx_amount", "CAST(id % 2 AS int) AS tx_fraud",
+    )
+    sums = panes.window_sums(tx, panes.panes_of(tx, "customer_id"), tx, "customer_id")
+    sizes = [r["count"] for r in sums.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 250
+    rows = panes.customer_features(tx, panes.panes_of(tx, "customer_id"), tx)
+    tasks = rows.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert max(r["count"] for r in tasks) <= 250

@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txlake.functions.scalars import DAY_US, micros, ratio, unscaled
+from txlake.operators.skew import broadcast_if_small
 from txlake.schemas import WINDOWS
 from txlake.session import delete_folder, folders, stage
 
 SUMS = ("n_amounts", "cents", "n_labels", "frauds")
+TASK_ROWS = 500_000
+FEW_MOMENTS = 100_000
 
 
 def _values() -> dict[str, Column]:
@@ -120,48 +123,64 @@ def edge_days(rows: DataFrame, windows=WINDOWS, delay: int = 0) -> list[dt.date]
     return sorted({d - dt.timedelta(days=lag) for d in days for lag in edges(windows, delay)})
 
 
+def _tasks(n: int) -> int:
+    return max(1, -(-n // TASK_ROWS))
+
+
 def window_sums(
-    rows: DataFrame, panes: DataFrame, history: DataFrame, entity: str, windows=WINDOWS, delay: int = 0
+    rows: DataFrame, panes: DataFrame, history: DataFrame, entity: str, windows=WINDOWS, delay: int = 0,
+    names: tuple[str, ...] = SUMS,
 ) -> DataFrame:
     """(entity, _us, <sum>_<n>): for each entity and time of ``rows`` the sums over its transactions of
     ``(t - delay - n, t - delay]``.
 
     ``panes`` are those of all transactions, ``history`` holds at least the transactions of the days on
     which a window begins or ends (:func:`edge_days`), those of ``rows`` included. Both entity sorts are
-    short: one of panes and asked days, one of the rows of a single day.
+    short: one of panes and asked days, one of the moments of a single day.
+
+    What is asked for moves twice, by entity and day and by entity and time, each time over as many tasks as
+    its exact number of rows asks for, so that a task holds the same however large the input is.
     """
     lags = edges(windows, delay)
-    moments = _known(rows, entity).select(entity, "_us").distinct()
-    lag = F.explode(F.array(*[F.lit(x) for x in lags]))
-    asked = moments.select(entity, "_us", lag.alias("_lag"))
+    moments = stage(_known(rows, entity).groupBy(entity, "_us").agg(F.count(F.lit(1)).alias("_rows")), "pane-moments")
+    n_moments, n_rows = moments.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    asked = moments.select(entity, "_us", F.explode(F.array(*[F.lit(x) for x in lags])).alias("_lag"))
     asked = asked.withColumn("_at", F.col("_us") - F.col("_lag") * F.lit(DAY_US)).withColumn("_day", _day(F.col("_at")))
-    asked = stage(asked, "pane-asks")
-    days = asked.select(entity, "_day").distinct()
-    nothing = [F.lit(0).cast("long").alias(name) for name in SUMS]
-
-    inside = _known(history, entity).join(days, [entity, "_day"], "left_semi")
-    inside = inside.groupBy(entity, "_day", F.col("_us").alias("_at")).agg(*[F.sum(v).alias(name) for name, v in _values().items()])
-    events = inside.withColumn("_asks", F.lit(False)).unionByName(
-        asked.select(entity, "_day", "_at", *nothing, F.lit(True).alias("_asks")).distinct()
-    )
-    so_far = Window.partitionBy(entity, "_day").orderBy("_at", "_asks").rowsBetween(Window.unboundedPreceding, 0)
-    of_day = events.select(entity, "_day", "_at", "_asks", *[F.sum(name).over(so_far).alias(f"_in_{name}") for name in SUMS]).where("_asks")
+    days = broadcast_if_small(asked.select(entity, "_day").distinct())
+    nothing = [F.lit(0).cast("long").alias(name) for name in names]
+
+    inside = _known(history, entity)
+    if n_moments <= FEW_MOMENTS:
+        # Rows of other days change no sum; where few days are asked for, they need not move.
+        inside = inside.join(days, [entity, "_day"], "left_semi")
+    values = _values()
+    points = stage(inside.groupBy(entity, "_us").agg(*[F.sum(values[name]).alias(name) for name in names]), "pane-points")
 
-    steps = panes.select(entity, F.col("day").alias("_day"), *SUMS, F.lit(True).alias("_pane")).unionByName(
+    steps = panes.select(entity, F.col("day").alias("_day"), *names, F.lit(True).alias("_pane")).unionByName(
         days.select(entity, "_day", *nothing, F.lit(False).alias("_pane"))
     )
     # A day's own pane comes behind the question for what was before it.
     before = Window.partitionBy(entity).orderBy("_day", "_pane").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = steps.select(entity, "_day", "_pane", *[F.sum(name).over(before).alias(f"_be_{name}") for name in SUMS]).where("NOT _pane")
-
-    totals = asked.join(of_day.drop("_asks"), [entity, "_day", "_at"]).join(earlier.drop("_pane"), [entity, "_day"])
-    per_lag = [
-        F.max(F.when(F.col("_lag") == x, F.col(f"_in_{name}") + F.col(f"_be_{name}"))).alias(f"_{name}_{x}")
-        for x in lags for name in SUMS
-    ]
-    wide = totals.groupBy(entity, "_us").agg(*per_lag)
-    return wide.select(
-        entity, "_us", *[(F.col(f"_{name}_{delay}") - F.col(f"_{name}_{delay + n}")).alias(f"{name}_{n}") for n in windows for name in SUMS]
+    earlier = steps.select(entity, "_day", "_pane", *[F.sum(name).over(before).alias(name) for name in names]).where("NOT _pane")
+
+    # A day begins with what was before it; a question stands last among what has its time.
+    events = earlier.select(
+        entity, "_day", (F.col("_day") * F.lit(DAY_US)).alias("_at"), F.lit(0).alias("_kind"), F.lit(0).alias("_lag"), *names
+    )
+    events = events.unionByName(points.select(
+        entity, _day(F.col("_us")).alias("_day"), F.col("_us").alias("_at"), F.lit(1).alias("_kind"), F.lit(0).alias("_lag"), *names
+    )).unionByName(asked.select(entity, "_day", "_at", F.lit(2).alias("_kind"), "_lag", *nothing))
+    tasks = _tasks(len(lags) * n_moments + points.count() + n_rows)
+    so_far = Window.partitionBy(entity, "_day").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    totals = events.repartition(tasks, entity, "_day").select(
+        entity, "_at", "_kind", "_lag", *[F.sum(name).over(so_far).alias(name) for name in names]
+    ).where("_kind = 2")
+    totals = totals.select(entity, (F.col("_at") + F.col("_lag") * F.lit(DAY_US)).alias("_us"), "_lag", *names)
+    window = lambda name, n: F.sum(
+        F.when(F.col("_lag") == delay, F.col(name)).when(F.col("_lag") == delay + n, -F.col(name)).otherwise(0)
+    )
+    return totals.repartition(tasks, entity, "_us").groupBy(entity, "_us").agg(
+        *[window(name, n).alias(f"{name}_{n}") for n in windows for name in names]
     )
 
 
@@ -170,10 +189,14 @@ def _joined(rows: DataFrame, sums: DataFrame, entity: str, new: list[Column]) ->
     return timed.join(sums, [entity, "_us"]).select(*rows.columns, *new)
 
 
-def customer_features(rows: DataFrame, panes: DataFrame, history: DataFrame, windows=WINDOWS) -> DataFrame:
+def customer_features(
+    rows: DataFrame, panes: DataFrame, history: DataFrame, windows=WINDOWS, asked_in: DataFrame | None = None
+) -> DataFrame:
     """``rows`` with the number and average amount of the customer's transactions in the last ``n`` days,
-    equal to :func:`rolling.customer_rolling_features`. Rows without a customer or time get no feature row."""
-    sums, new = window_sums(rows, panes, history, "customer_id", windows), []
+    equal to :func:`rolling.customer_rolling_features`. Rows without a customer or time get no feature row.
+    ``asked_in`` names a cheaper frame with the same customers and times to look in."""
+    asked = rows if asked_in is None else asked_in
+    sums, new = window_sums(asked, panes, history, "customer_id", windows, names=("n_amounts", "cents")), []
     for n in windows:
         new.append(F.col(f"n_amounts_{n}").alias(f"customer_id_nb_tx_{n}day_window"))
         amount = F.col(f"cents_{n}").cast("double") / F.lit(100.0).cast("double")
@@ -181,10 +204,14 @@ def customer_features(rows: DataFrame, panes: DataFrame, history: DataFrame, win
     return _joined(rows, sums, "customer_id", new)
 
 
-def terminal_features(rows: DataFrame, panes: DataFrame, history: DataFrame, windows=WINDOWS, delay: int = 7) -> DataFrame:
+def terminal_features(
+    rows: DataFrame, panes: DataFrame, history: DataFrame, windows=WINDOWS, delay: int = 7, asked_in: DataFrame | None = None
+) -> DataFrame:
     """``rows`` with the number of transactions and share of frauds on the terminal, ``delay`` days earlier,
-    equal to :func:`rolling.terminal_risk_features`."""
-    sums, new = window_sums(rows, panes, history, "terminal_id", windows, delay), []
+    equal to :func:`rolling.terminal_risk_features`. ``asked_in`` names a cheaper frame with the same terminals
+    and times to look in."""
+    asked = rows if asked_in is None else asked_in
+    sums, new = window_sums(asked, panes, history, "terminal_id", windows, delay, ("n_labels", "frauds")), []
     for n in windows:
         new.append(F.col(f"n_labels_{n}").alias(f"terminal_id_nb_tx_{n}day_window"))
         new.append(ratio(F.col(f"frauds_{n}"), F.col(f"n_labels_{n}"), 0.0).alias(f"terminal_id_risk_{n}day_window"))
