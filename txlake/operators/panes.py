@@ -144,7 +144,9 @@ def window_sums(
     lags = edges(windows, delay)
     moments = stage(_known(rows, entity).groupBy(entity, "_us").agg(F.count(F.lit(1)).alias("_rows")), "pane-moments")
     n_moments, n_rows = moments.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
-    asked = moments.select(entity, "_us", F.explode(F.array(*[F.lit(x) for x in lags])).alias("_lag"))
+    # Each becomes several questions: dealt out first, so that no task of the reader makes too many.
+    dealt = moments.select(entity, "_us").repartition(_tasks(len(lags) * n_moments), entity, "_us")
+    asked = dealt.select(entity, "_us", F.explode(F.array(*[F.lit(x) for x in lags])).alias("_lag"))
     asked = asked.withColumn("_at", F.col("_us") - F.col("_lag") * F.lit(DAY_US)).withColumn("_day", _day(F.col("_at")))
     days = broadcast_if_small(asked.select(entity, "_day").distinct())
     nothing = [F.lit(0).cast("long").alias(name) for name in names]
